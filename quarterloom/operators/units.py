@@ -10,12 +10,12 @@ JVM; the fit sees a histogram of bounded size.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quarterloom.functions.companies import FULL_WIDTH, company_number
 from quarterloom.functions.items import PER_SHARE, item_entries, item_meaning
+from quarterloom.functions.let import let
 from quarterloom.session import written
 
 #: Known conversion factors of the mixture.
@@ -48,12 +48,6 @@ def plain_number_text(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, FULL_WIDTH, "0123456789"), r"(?U)[\s   ]+", " ")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value`` evaluated once: the optimizer would paste a plain
-    column expression wherever it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _text_factor(rest: Column) -> Column:
     def factor(word: Column) -> Column:
         out = F.lit(None).cast("double")
