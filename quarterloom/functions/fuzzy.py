@@ -99,13 +99,17 @@ class SymmetricDelete:
 
     def __init__(self, words: Iterable[str], k: int):
         self.k = k
+        words = list(words)
         self.index: dict[str, list[str]] = {}
+        self.longest = max(map(len, words), default=0)
         for w in sorted(set(words)):
             for v in deletes(w, k):
                 self.index.setdefault(v, []).append(w)
 
     def lookup(self, word: str, k: int | None = None) -> dict[str, float]:
         k = self.k if k is None else min(k, self.k)
+        if len(word) > self.longest + k:
+            return {}  # nothing is as long, however long the word
         seen = {w for v in deletes(word, k) for w in self.index.get(v, ())}
         found = {w: weighted_dl(word, w, float(k)) for w in seen}
         return {w: c for w, c in found.items() if c <= k}
