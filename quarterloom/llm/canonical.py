@@ -35,7 +35,7 @@ REMARKS = frozenset(
 NUMBERING = re.compile(r"^\s*(?:(?:table|exhibit|ex|schedule|note|item|annex|appendix)\b\.?\s*(?:[0-9]+(?:\.[0-9]+)*|[ivx]+\b|[a-z]\b)\s*[:.)\-–—]*|\(?[0-9]{1,3}(?:\.[0-9]+)*[.):]|[-–—•*·]+(?=\s|\w))\s*", re.I)
 NOTE_MARK = re.compile(r"\(\s*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\s*\)|\[\s*(?:[0-9]{1,2}|[a-z])\s*\]|[*†‡§¹²³⁴-⁹]+", re.I)
 BRACKET = re.compile(r"\(([^()]*)\)")
-TRAILER = re.compile(r"(?:\s*(?:\.\s*){2,}|\s*[:$;,]|\s*(?:US\$|USD))+\s*$")
+CURRENCY = re.compile(r"\s(?:US\$|USD)$")
 SEPARATOR = re.compile(r"\s+[-–—/|]\s+|\s*[–—|]\s*|\s*[/:;,]\s+|\s*,\s*$")
 
 
@@ -66,7 +66,7 @@ def undecorated(text: str) -> str:
     t = NOTE_MARK.sub(" ", text)
     t = BRACKET.sub(lambda m: " " if _is_remark(m.group(1)) else m.group(), t)
     for _ in range(3):
-        u = TRAILER.sub("", NUMBERING.sub("", t))
+        u = CURRENCY.sub("", NUMBERING.sub("", t).rstrip(" .:$;,"))
         if u == t:
             break
         t = u
@@ -173,7 +173,13 @@ def _match_block(df: DataFrame, rows: list[tuple], key: str, fields: Sequence[st
                 yield pd.DataFrame({key: b[key][keep].to_numpy(), "field": f, "ref_id": take([i for i, _ in found]), "cost": take([c for _, c in found]), "exact": take(exact)})
 
     kind = dict(df.dtypes)[key]
-    return df.select(key, *names).mapInPandas(run, f"`{key}` {kind}, field string, ref_id bigint, cost double, exact boolean")
+    schema = f"`{key}` {kind}, field string, ref_id bigint, cost double, exact boolean"
+    if kind != "bigint":
+        return df.select(key, *names).mapInPandas(run, schema)
+    # pandas would turn a column of ids with a null into floats
+    none = F.lit(-(1 << 63))
+    rows = df.select(F.coalesce(F.col(key), none).alias(key), *names).mapInPandas(run, schema)
+    return rows.withColumn(key, F.nullif(F.col(key), none))
 
 
 def _match_in_blocks(df: DataFrame, ranked: DataFrame, key: str, fields: Sequence[str], n: int) -> DataFrame:

@@ -111,10 +111,11 @@ def containers(docs: DataFrame, vocabulary: str | None = None, capacity: int = C
     """
     shards = max(1, -(-docs.count() // shard))
     counts = token_counts(docs, vocabulary=vocabulary)
-    keyed = counts.select("doc_id", "tokens", F.lit(capacity).alias("capacity"), F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(shards)).cast("int").alias("shard"))
-    # one task per shard: range bounds would need a second tokenization
-    spread = keyed.repartitionById(shards, "shard") if hasattr(keyed, "repartitionById") else keyed.repartition(shards, "shard")
-    return spread.mapInPandas(_by_shard, "doc_id bigint, piece int, tokens bigint, container bigint")
+    # pandas would turn a column of ids with a null into floats
+    none = F.lit(-(1 << 63))
+    keyed = counts.select(F.coalesce("doc_id", none).alias("doc_id"), "tokens", F.lit(capacity).alias("capacity"), F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(shards)).cast("int").alias("shard"))
+    packed = keyed.repartition(shards, "shard").mapInPandas(_by_shard, "doc_id bigint, piece int, tokens bigint, container bigint")
+    return packed.withColumn("doc_id", F.nullif("doc_id", none))
 
 
 def _by_shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -224,7 +224,7 @@ def _without(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 def copy_classes(docs: DataFrame, span: int) -> DataFrame:
     """``(doc, rep, chars, copies)`` of the texts of at least ``span`` code
     points; ``rep`` is the least id with that very text."""
-    own = docs.where(F.char_length("text") >= span).select(F.col("doc_id").alias("doc"), F.sha2("text", 256).alias("digest"), F.char_length("text").alias("chars"))
+    own = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), F.sha2("text", 256).alias("digest"), F.char_length("text").alias("chars"))
     own = own.distinct()
     rep = own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"))
     return own.join(rep, "digest").select("doc", "rep", "chars", "copies")
@@ -308,7 +308,7 @@ def matches(k: DataFrame) -> DataFrame:
 
 def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame, DataFrame]:
     classes = written(copy_classes(docs, span), "classes")
-    texts = docs.where(F.char_length("text") >= span).select(F.col("doc_id").alias("doc"), "text")
+    texts = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), "text")
     texts = _without(texts, classes.where("doc <> rep").select("doc"), "left_anti")
     found = written(anchors(texts, span, block_limit), "found")
     return classes, written(keys(texts, found, span), "keys")
@@ -318,8 +318,9 @@ def shared_pairs(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIM
     """``(doc_a, doc_b)``, ``doc_a < doc_b``: the documents with ``span`` or
     more successive characters in common, whole copies included.
 
-    Null, empty and shorter texts share nothing; an empty table gives no
-    rows; extra columns are ignored.
+    Null, empty and shorter texts share nothing, nor do texts without an id;
+    repeated rows of one document count once; an empty table gives no rows;
+    extra columns are ignored.
     """
     classes, k = _prepared(docs, span, block_limit)
     pairs = matches(k).select("doc_a", "doc_b").distinct()
@@ -330,7 +331,7 @@ def shared_pairs(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIM
     many = classes.where("copies > 1")
     within = many.select("rep", F.col("doc").alias("x")).join(many.select("rep", F.col("doc").alias("y")), "rep").where("x < y").select("x", "y")
     both = between.unionByName(within)
-    return both.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
+    return both.where("x <> y").select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
 
 
 def _covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
