@@ -28,3 +28,32 @@ def linked(df: DataFrame) -> DataFrame:
     """Provenance listing: period linked to its filing, dates as text."""
     link = F.concat(F.lit('<a href="'), F.col("filing_href"), F.lit('">'), F.col("fiscal_period"), F.lit("</a>"))
     return df.select("stmt_id", link.alias("link"), F.date_format("filing_date", "yyyy-MM-dd").alias("filed"), F.concat_ws("#", "fiscal_period", "filing_href").alias("source"))
+
+
+def quality_report(facts: DataFrame, companies: DataFrame, cik: str, items: Sequence[str]) -> dict[str, DataFrame]:
+    """The frames of one company's report: its card, best values, statistics,
+    filled series, messages and sources."""
+    from quarterloom.operators import quality
+
+    best = quality.query_prelims(facts, F.col("cik") == cik)
+    return {
+        "company": companies.where(F.col("cik") == cik),
+        "values": best.orderBy("filing_date", "item"),
+        "statistics": describe(best),
+        "series": pivot_filled(best, items).orderBy("filing_date"),
+        "messages": quality.validate(best, items).orderBy("item", "period"),
+        "sources": linked(best),
+    }
+
+
+def write_report(frames: dict[str, DataFrame], path: str, rows: int = 10_000, again: bool = False) -> bool:
+    """One company's report as an HTML file; an existing one is kept unless
+    ``again``.  A page shows at most ``rows`` lines per frame."""
+    import os
+
+    if os.path.exists(path) and not again:
+        return False
+    parts = [f"<h2>{name}</h2>{df.limit(rows).toPandas().to_html(index=False, escape=name != 'sources')}" for name, df in frames.items()]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f"<html><meta charset='utf-8'>{''.join(parts)}</html>")
+    return True
