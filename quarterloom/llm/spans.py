@@ -148,18 +148,24 @@ def bitmap_of(blocks: DataFrame, n: int) -> tuple[np.ndarray, int]:
     piece = min(bits, 20)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            p = np.unique(np.concatenate(_bits(h, bits)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array((p >> piece).astype(np.int32)), pa.array((p & ((1 << piece) - 1)).astype(np.int32))], ["piece", "bit"])
+        """Marks of a task by piece, four bytes each."""
+        got = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
+        if got:
+            p = np.unique(np.concatenate([x for h in got for x in _bits(h, bits)]).astype(np.int64))
+            nth = p >> piece
+            cut = np.flatnonzero(np.r_[True, nth[1:] != nth[:-1]]) if len(p) else np.zeros(0, int)
+            low = (p & ((1 << piece) - 1)).astype(np.uint32)
+            marks = [x.tobytes() for x in np.split(low, cut[1:])] if len(p) else []
+            yield pa.RecordBatch.from_arrays([pa.array(nth[cut].astype(np.int32)), pa.array(marks, pa.binary())], ["piece", "marks"])
 
     def build(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = np.zeros(1 << piece, bool)
         for b in batches:
-            out[b["bit"].to_numpy()] = True
+            for marks in b["marks"]:
+                out[np.frombuffer(marks, np.uint32)] = True
         yield pd.DataFrame({"piece": [key[0]], "bytes": [np.packbits(out, bitorder="little").tobytes()]})
 
-    marks = blocks.select("h").mapInArrow(split, "piece int, bit int").distinct()
+    marks = blocks.select("h").mapInArrow(split, "piece int, marks binary")
     pieces = marks.groupBy("piece").applyInPandas(build, "piece int, bytes binary")
     bitmap = np.zeros(1 << (bits - 3), np.uint8)
     for row in pieces.toLocalIterator():
