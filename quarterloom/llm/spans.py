@@ -26,9 +26,9 @@ SPAN = 200
 #: Texts are hashed together up to this many characters.
 SEGMENT = 1 << 19
 
-#: Bits of the bitmap per indexed block, and its largest size (32 MB).
+#: Bits of the bitmap per indexed block, and its largest size (64 MB).
 BITS_PER_BLOCK = 32
-BITMAP_LIMIT = 1 << 28
+BITMAP_LIMIT = 1 << 29
 
 #: Blocks that a bitmap of that size still tells apart (8 bits each); beyond,
 #: anchors are local minima of the window hashes, which need no bitmap.
@@ -141,7 +141,7 @@ def _in_bitmap(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
 
 def bitmap_of(blocks: DataFrame, n: int) -> tuple[np.ndarray, int]:
     """A bitmap of the indexed hashes: put together in pieces by the
-    executors; the driver sees its bytes, at most 32 MB, never the hashes."""
+    executors; the driver sees its bytes, at most 64 MB, never the hashes."""
     bits = 16
     while (1 << bits) < min(BITS_PER_BLOCK * n, BITMAP_LIMIT):
         bits += 1
@@ -237,7 +237,9 @@ def copy_classes(docs: DataFrame, span: int) -> DataFrame:
 
 
 def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> DataFrame:
-    """``(h, doc, pos, block)`` of the anchors that stand in two texts."""
+    """``(h, doc, pos, block)`` of the anchors that stand in two texts: blocks
+    that a later document holds too, and windows like a block of an earlier
+    one."""
     w = span // 2
     blocks = written(indexed_blocks(texts, w), "blocks")
     n = blocks.count()
@@ -246,13 +248,16 @@ def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> Data
         every = blocks.unionByName(written(probed_windows(texts, bitmap, bits, w), "probes"))
     else:
         every = written(local_minima(texts, w, span), "minima")
-    groups = every.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max("block").alias("any")).where("a < b and any").select("h")
-    return every.join(groups, "h", "left_semi")
+    # a pair is found at a block of its lesser document: what comes before
+    # the first indexed one or is indexed last of all brings none together
+    groups = every.groupBy("h").agg(F.min(F.when(F.col("block"), F.col("doc"))).alias("a"), F.max("doc").alias("b")).where("a < b")
+    return every.join(groups, "h").where("(block and doc < b) or doc > a").select("h", "doc", "pos", "block")
 
 
 def keys(texts: DataFrame, found: DataFrame, span: int) -> DataFrame:
     """Windows of ``span - STEP`` characters around each anchor, with STEP
-    characters to either side: ``(h, g, doc, xs, left, right)``.
+    characters to either side: ``(h, g, doc, block, xs, left, right)``;
+    ``block`` where the anchor is an indexed block.
 
     A span that holds the anchor holds one of them; a phrase common to many
     texts but shorter than the window brings no two of them together.  Equal
@@ -260,32 +265,38 @@ def keys(texts: DataFrame, found: DataFrame, span: int) -> DataFrame:
     """
     w, v = span // 2, span - STEP
     offsets = np.arange(0, v - w + 1, STEP)
-    places = found.groupBy("doc").agg(F.collect_set("pos").alias("ps"))
+    # an indexed block is marked by its sign: -1 - position
+    places = found.groupBy("doc").agg(F.collect_set(F.when(F.col("block"), -1 - F.col("pos")).otherwise(F.col("pos"))).alias("ps"))
     wanted = _without(texts, places.select("doc"), "left_semi").join(places, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("h", "g", "doc", "xs", "left", "right")}
+            out: dict[str, list] = {c: [] for c in ("h", "g", "doc", "block", "xs", "left", "right")}
             for doc, text, ps in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                x = np.unique((ps.values.to_numpy()[:, None] - offsets[None, :]).ravel())
-                x = x[(x >= 0) & (x + v <= len(text))]
-                if not len(x):
-                    continue
-                s = prefix_sums(_codes(text))
-                h = window_hashes(s, x, v).view(np.int64)
-                g = window_hashes(s, x, v - 7).view(np.int64)
+                p = ps.values.to_numpy()
                 rows: dict[tuple, list[int]] = {}
-                for p, a, c in zip(x.tolist(), h.tolist(), g.tolist()):
-                    rows.setdefault((a, c, text[max(0, p - STEP) : p], text[p + v : p + v + STEP]), []).append(p)
-                for (a, c, le, ri), xs in rows.items():
-                    for name, value in zip(out, (a, c, doc, xs, le, ri)):
+                indexed: set[tuple] = set()
+                s = None
+                for block, own in ((True, -1 - p[p < 0]), (False, p[p >= 0])):
+                    x = np.unique((own[:, None] - offsets[None, :]).ravel())
+                    x = x[(x >= 0) & (x + v <= len(text))]
+                    if not len(x):
+                        continue
+                    s = prefix_sums(_codes(text)) if s is None else s
+                    h = window_hashes(s, x, v).view(np.int64)
+                    g = window_hashes(s, x, v - 7).view(np.int64)
+                    for q, a, c in zip(x.tolist(), h.tolist(), g.tolist()):
+                        key = (a, c, text[max(0, q - STEP) : q], text[q + v : q + v + STEP])
+                        if block:
+                            indexed.add(key)
+                        rows.setdefault(key, []).append(q)
+                for key, xs in rows.items():
+                    for name, value in zip(out, (key[0], key[1], doc, key in indexed, xs, key[2], key[3])):
                         out[name].append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["h"], pa.int64()), pa.array(out["g"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["xs"], pa.list_(pa.int32())), pa.array(out["left"], pa.string()), pa.array(out["right"], pa.string())],
-                list(out),
-            )
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), types)], list(out))
 
-    return wanted.select("doc", "text", "ps").mapInArrow(run, "h bigint, g bigint, doc bigint, xs array<int>, left string, right string")
+    return wanted.select("doc", "text", "ps").mapInArrow(run, "h bigint, g bigint, doc bigint, block boolean, xs array<int>, left string, right string")
 
 
 @F.pandas_udf(T.StructType([T.StructField("before", T.IntegerType()), T.StructField("after", T.IntegerType())]))
@@ -305,8 +316,9 @@ def _extension(al: pd.Series, bl: pd.Series, ar: pd.Series, br: pd.Series) -> pd
 
 def matches(k: DataFrame) -> DataFrame:
     """Pairs of windows of two texts that grow to the span length:
-    ``(doc_a, doc_b, h, g, al, ar, bl, br, before, after)``."""
-    a = k.select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
+    ``(doc_a, doc_b, h, g, al, ar, bl, br, before, after)``, found at the
+    indexed blocks of the lesser document."""
+    a = k.where("block").select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
     b = k.select("h", "g", F.col("doc").alias("doc_b"), F.col("left").alias("bl"), F.col("right").alias("br"))
     both = a.join(b, ["h", "g"]).where("doc_a < doc_b")
     return both.withColumn("e", _extension("al", "bl", "ar", "br")).select("*", "e.before", "e.after").drop("e").where(F.col("before") + F.col("after") >= STEP)
