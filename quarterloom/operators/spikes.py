@@ -15,7 +15,7 @@ import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterloom.operators.units import amounts
+from quarterloom.operators.units import dollars, parsed
 from quarterloom.session import written
 
 #: Quarters on each side whose median is the level before and after.
@@ -148,13 +148,12 @@ def readings(df: DataFrame, refs: DataFrame, key: str = "stmt_id") -> DataFrame:
     reading of a series: a company number, one of the items, a quarter (from
     ``fiscal_period``, else ``fpe_date``) and an amount in dollars; where
     ``src_value`` is unreadable ``item_value`` is the amount."""
-    a = amounts(df.select(key, "cik", "item", "item_value", "src_value", "src_units", "fiscal_period", "fpe_date"), refs)
+    a = parsed(df.select(key, "cik", "item", "item_value", "src_value", "src_units", "fiscal_period", "fpe_date"), refs)
     by_date = F.year("fpe_date") * 4 + F.quarter("fpe_date") - 1
-    amount = F.round(F.coalesce("q_amount", F.col("item_value").cast("double")), 5)
-    return (
-        a.select(key, "q_company", "q_item", F.coalesce(quarter_index(F.col("fiscal_period")), by_date).alias("q"), amount.alias("q_amount"))
-        .where("q_company is not null and q_item > 0 and q is not null and q_amount is not null and not isnan(q_amount)")
-    )
+    amount = F.round(F.coalesce(dollars(F.col("q_money")), F.col("item_value").cast("double")), 5)
+    all_ = a.select(key, "q_company", "q_item", F.coalesce(quarter_index(F.col("fiscal_period")), by_date).alias("q"), amount.alias("q_amount"))
+    # parsed once, read twice; a filter before would parse again
+    return written(all_, "readings").where("q_company is not null and q_item > 0 and q is not null and q_amount is not null and not isnan(q_amount)")
 
 
 def implausible(df: DataFrame, refs: DataFrame, key: str = "stmt_id", cut: float = CUT, bound: float = BOUND, stuck: int = STUCK) -> DataFrame:
@@ -165,7 +164,7 @@ def implausible(df: DataFrame, refs: DataFrame, key: str = "stmt_id", cut: float
     stuck rules; ties, repeated rows and several rows per quarter are judged
     row by row against the quarter's course; an empty table gives no rows.
     """
-    r = written(readings(df, refs, key), "readings")  # parsed once, read twice
+    r = readings(df, refs, key)
     j = r.join(courses(r), ["q_company", "q_item", "q"])
     a = F.col("q_amount")
     # NaN becomes null on its way out of Python; a course of zero gives no gap

@@ -94,28 +94,37 @@ def column_factor(c: Column) -> Column:
     )
 
 
-def parsed(df: DataFrame, refs: DataFrame) -> DataFrame:
-    """``df`` with ``q_company``, ``q_item`` (reference id, 0 for none),
-    ``q_figure``, ``q_factor`` (null: no unit given) and ``q_source``
-    ('value', 'units' or 'missing')."""
-    entries = item_entries(refs)
+def money(entries: dict[int, str]) -> Column:
+    """Struct of ``figure``, ``factor`` (null: no unit given) and ``source``
+    ('value', 'units' or 'missing') of a row with ``q_item``."""
     per_share = [i for i, t in entries.items() if t in PER_SHARE]
-    item = item_meaning(F.col("item"), entries)
-    out = df.withColumn("q_read", read_figure(F.col("src_value")))
-    out = out.withColumns({"q_figure": F.col("q_read.figure"), "q_text": F.col("q_read.factor"), "q_company": company_number(F.col("cik")), "q_item": item, "q_units": column_factor(F.col("src_units"))})
+    told = column_factor(F.col("src_units"))
     # units of thousands and more in the column are not meant for per share items
-    units = F.when(F.col("q_item").isin(per_share) & (F.col("q_units") > 1), F.lit(1.0)).otherwise(F.col("q_units"))
-    out = out.withColumn("q_factor", F.coalesce("q_text", units))
-    out = out.withColumn("q_source", F.when(F.col("q_text").isNotNull(), "value").when(units.isNotNull(), "units").otherwise("missing"))
-    return out.drop("q_read", "q_text", "q_units")
+    units = let(told, lambda u: F.when(F.col("q_item").isin(per_share) & (u > 1), F.lit(1.0)).otherwise(u))
+
+    def both(x: Column) -> Column:
+        source = F.when(x["r"]["factor"].isNotNull(), "value").when(x["u"].isNotNull(), "units").otherwise("missing")
+        return F.struct(x["r"]["figure"].alias("figure"), F.coalesce(x["r"]["factor"], x["u"]).alias("factor"), source.alias("source"))
+
+    return let(F.struct(read_figure(F.col("src_value")).alias("r"), units.alias("u")), both)
+
+
+def parsed(df: DataFrame, refs: DataFrame) -> DataFrame:
+    """``df`` with ``q_company``, ``q_item`` (reference id, 0 for none) and
+    ``q_money``, see :func:`money`."""
+    entries = item_entries(refs)
+    out = df.withColumns({"q_company": company_number(F.col("cik")), "q_item": item_meaning(F.col("item"), entries)})
+    return out.withColumn("q_money", money(entries))
+
+
+def spread_out(p: DataFrame) -> DataFrame:
+    return p.select("*", *[F.col(f"q_money.{n}").alias(f"q_{n}") for n in ("figure", "factor", "source")]).drop("q_money")
 
 
-def amounts(df: DataFrame, refs: DataFrame) -> DataFrame:
-    """``parsed`` with ``q_amount`` in dollars (per share: dollars per
-    share); without any unit the figure is in dollars.  Without a readable
-    figure the amount is null."""
-    p = parsed(df, refs)
-    return p.withColumn("q_amount", F.col("q_figure") * F.coalesce("q_factor", F.lit(1.0)))
+def dollars(m: Column) -> Column:
+    """Amount in dollars (per share: dollars per share) of a ``q_money``;
+    without any unit the figure is in dollars, without a figure null."""
+    return let(m, lambda x: x["figure"] * F.coalesce(x["factor"], F.lit(1.0)))
 
 
 def levels(p: DataFrame) -> DataFrame:
@@ -181,7 +190,8 @@ def converted(df: DataFrame, refs: DataFrame, key: str = "stmt_id", missing: str
     Extra columns do not disturb; nulls in any column give null amounts.
     """
     p = parsed(df.select(key, "cik", "item", "item_value", "src_value", "src_units"), refs)
-    p = written(p.drop("cik", "item", "src_value", "src_units"), "units")  # parsed once, read three times
+    # parsed once, read three times
+    p = spread_out(written(p.drop("cik", "item", "src_value", "src_units"), "units"))
     a = assigned(p)
     told = p.where(F.col("q_source") != "missing").withColumns({"q_guess": F.lit(None).cast("double"), "q_posterior": F.lit(None).cast("double"), "q_uncertain": F.lit(False)})
     both = told.unionByName(a.select(*told.columns))
