@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quarterloom.functions.companies import company_number
 from quarterloom.functions.items import item_entries, item_meaning
+from quarterloom.functions.let import let
 from quarterloom.session import written
 
 FIELDS = ("item_value", "src_value", "src_units", "src_row", "fpe_date")
@@ -25,9 +26,10 @@ HALF_LIFE = 365.0
 
 
 def normalised(c: Column) -> Column:
-    """Value as compared between rows; null if it fills nothing."""
+    """Hash of a value as compared between rows, blanks and case apart; null
+    if it fills nothing."""
     t = F.lower(F.trim(F.regexp_replace(c.cast("string"), r"\s+", " ")))
-    return F.when(t.isin(*PLACEHOLDERS), None).otherwise(t)
+    return let(t, lambda v: F.when(v.isNotNull() & ~v.isin(*PLACEHOLDERS), F.xxhash64(v)))
 
 
 def trust() -> Column:
@@ -66,8 +68,7 @@ def keyed(df: DataFrame, refs: DataFrame) -> DataFrame:
     ).where("g_company is not null and g_item > 0")
     null = F.lit("\u0000")
     texts = [F.coalesce(F.col(c).cast("string"), null) for c in key]
-    hashed = [F.when(F.col(f"n_{f}").isNotNull(), F.xxhash64(f"n_{f}")).alias(f"n_{f}") for f in FIELDS]
-    return k.select(F.xxhash64(*texts).alias("h1"), F.xxhash64(F.lit(97), *reversed(texts)).alias("h2"), "stmt_id", "is_overridden", "table_rank", "item_rank", "loaded_at", *hashed)
+    return k.select(F.xxhash64(*texts).alias("h1"), F.xxhash64(F.lit(97), *reversed(texts)).alias("h2"), "stmt_id", "is_overridden", "table_rank", "item_rank", "loaded_at", *[f"n_{f}" for f in FIELDS])
 
 
 def winners(df: DataFrame, refs: DataFrame) -> DataFrame:
