@@ -101,30 +101,27 @@ def _courses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         med = [np.asarray(x, float) for x in b["med"]]
         before, after, near = _levels(med)
         at = np.r_[0, np.cumsum([len(v) for v in med])]
-        out = []
+        lengths = np.diff(at)
+        signs, spreads, runs = np.zeros(len(med)), np.empty(len(med)), []
         for i, v in enumerate(med):
             s = slice(at[i], at[i + 1])
-            lo, hi = np.asarray(b["lo"].iat[i], float), np.asarray(b["hi"].iat[i], float)
-            pos, neg = (v > 0).sum(), (v < 0).sum()
-            sign = 1.0 if pos >= (1 - RARE) * len(v) else -1.0 if neg >= (1 - RARE) * len(v) else 0.0
-            if len(v) < 3:
-                sign = 0.0
-            out.append(
-                pd.DataFrame(
-                    {
-                        "q_company": b["q_company"].iat[i],
-                        "q_item": b["q_item"].iat[i],
-                        "q": np.asarray(b["q"].iat[i], int),
-                        "before": before[s],
-                        "after": after[s],
-                        "near": near[s],
-                        "spread": _spread(v, before[s], after[s], near[s]),
-                        "sign": sign,
-                        "run": _run_lengths(lo, hi),
-                    }
-                )
-            )
-        yield pd.concat(out, ignore_index=True)
+            runs.append(_run_lengths(np.asarray(b["lo"].iat[i], float), np.asarray(b["hi"].iat[i], float)))
+            spreads[i] = _spread(v, before[s], after[s], near[s])
+            if len(v) >= 3:
+                signs[i] = 1.0 if (v > 0).sum() >= (1 - RARE) * len(v) else -1.0 if (v < 0).sum() >= (1 - RARE) * len(v) else 0.0
+        yield pd.DataFrame(
+            {
+                "q_company": np.repeat(b["q_company"].to_numpy(), lengths),
+                "q_item": np.repeat(b["q_item"].to_numpy(), lengths),
+                "q": np.concatenate([np.asarray(x, int) for x in b["q"]]),
+                "before": before,
+                "after": after,
+                "near": near,
+                "spread": np.repeat(spreads, lengths),
+                "sign": np.repeat(signs, lengths),
+                "run": np.concatenate(runs),
+            }
+        )
 
 
 def courses(readings: DataFrame) -> DataFrame:
