@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarterloom.operators import orphans, spikes, units
-from quarterloom.session import table
+from quarterloom.session import spread, table
 
 
 def _orphan_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -26,28 +26,28 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.misconverted(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"))
+    return units.misconverted(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"))
 
 
 def p4_amounts(spark: SparkSession, d: str) -> DataFrame:
     """Every amount in dollars."""
-    c = units.converted(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"))
+    c = units.converted(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"))
     return c.where("q_amount is not null").select("stmt_id", F.round("q_amount", 4).alias("amount"), F.col("q_source").alias("unit_from"))
 
 
 def p4_missing_units(spark: SparkSession, d: str) -> DataFrame:
     """Rows without a unit and what the mixture makes of them."""
-    c = units.converted(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"), missing="mixture")
+    c = units.converted(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"), missing="mixture")
     a = c.where("q_source = 'missing' and q_figure is not null")
     return a.select("stmt_id", F.col("q_guess").alias("factor"), F.round("q_posterior", 6).alias("posterior"), F.col("q_uncertain").alias("uncertain"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return spikes.implausible(table(spark, d, "prelim_statement"), table(spark, d, "ref_label")).select("stmt_id")
+    return spikes.implausible(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label")).select("stmt_id")
 
 
 def p5_reasons(spark: SparkSession, d: str) -> DataFrame:
-    found = spikes.implausible(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"))
+    found = spikes.implausible(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"))
     return found.groupBy("reason").agg(F.count(F.lit(1)).alias("readings"))
 
 

@@ -35,6 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table that comes in fewer splits than there are cores, such as one
+    small file, is dealt out before Python works on it; any larger one stays
+    where it lies.  For plain scans: counting splits must not run a query."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 _made: list[tuple[SparkSession, str]] = []
 
 
