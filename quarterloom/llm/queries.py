@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterloom.llm import bpe, canonical, lookalike, packing, spans, survivor
-from quarterloom.session import table
+from quarterloom.session import spread, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -21,15 +21,15 @@ def p2_plain(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.canonical_cells(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"))
+    return canonical.canonical_cells(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"))
 
 
 def p3_misses(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.misses(table(spark, d, "prelim_statement"), table(spark, d, "ref_label"))
+    return canonical.misses(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.winners(table(spark, d, "prelim_statement"), table(spark, d, "ref_label")).select("group_id", "field", "from_id")
+    return survivor.winners(spread(table(spark, d, "prelim_statement")), table(spark, d, "ref_label")).select("group_id", "field", "from_id")
 
 
 def p6_records(spark: SparkSession, d: str) -> DataFrame:
@@ -37,23 +37,23 @@ def p6_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.token_ids(table(spark, d, "documents"))
+    return bpe.token_ids(spread(table(spark, d, "documents")))
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.containers(table(spark, d, "documents"))
+    return packing.containers(spread(table(spark, d, "documents")))
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill(packing.containers(table(spark, d, "documents")))
+    return packing.fill(packing.containers(spread(table(spark, d, "documents"))))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return spans.shared_pairs(table(spark, d, "documents"))
+    return spans.shared_pairs(spread(table(spark, d, "documents")))
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
-    return spans.shared_characters(table(spark, d, "documents"))
+    return spans.shared_characters(spread(table(spark, d, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
