@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarterloom.functions import grammar, periods, text
 from quarterloom.operators import extract, grids, quality, report, store
-from quarterloom.session import table
+from quarterloom.session import spread, table
 from quarterloom.sources import filings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -484,6 +484,26 @@ def page_text_blocks(spark, d):
     return grids.text_blocks(docs.select("doc_id", html.alias("html")), "doc_id").select("doc_id", F.col("block_no").cast("bigint").alias("block_no"), "text")
 
 
+#: Whitespace that ``str.strip`` takes off.
+_BLANKS = " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+#: An empty line ends a paragraph.
+_PARAGRAPH = r"\n[ \t\r]*\n"
+
+
+@query(f"""with p as (select doc_id, unnest(parts) as part, generate_subscripts(parts, 1) as i from (
+    select doc_id, regexp_split_to_array(text, '{_PARAGRAPH}') as parts from documents where text is not null)),
+  t as (select doc_id, i, trim(part, {_BLANKS}) as text from p)
+  select doc_id, cast(row_number() over (partition by doc_id order by i) - 1 as bigint) as block_no, text from t where text <> ''""")
+def page_text_blocks_all(spark, d):
+    """Every text as a page with an element per paragraph."""
+    docs = spread(table(spark, d, "documents")).where("text is not null")
+    esc = F.col("text")
+    for c, e in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        esc = F.replace(esc, F.lit(c), F.lit(e))
+    html = F.concat(F.lit("<div><p>"), F.regexp_replace(esc, _PARAGRAPH, "</p><p>"), F.lit("</p></div>"))
+    return grids.text_blocks(docs.select("doc_id", html.alias("html")), "doc_id").select("doc_id", F.col("block_no").cast("bigint").alias("block_no"), "text")
+
+
 @query()
 def stream_incremental(spark, d):
     """Landed ledger rows loaded as a stream, twice: nothing is added twice."""
