@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarterloom.functions import grammar, periods, text
 from quarterloom.operators import extract, grids, quality, report, store
+from quarterloom.plans import pipeline
 from quarterloom.session import spread, table
 from quarterloom.sources import filings
 
@@ -278,6 +279,17 @@ def filings_range(spark, d):
     return store.filings_between(table(spark, d, "prelim_filing"), dt.date(2010, 1, 1), dt.date(2012, 12, 31)).where(F.col("filing_type").startswith("8-")).select("filing_id", "cik", "filing_date").orderBy("filing_date", "filing_id").limit(1000)
 
 
+@query("select filing_id, cik, filing_date from prelim_filing where filing_date between date '2010-01-01' and date '2012-12-31' and filing_type like '8-%' order by filing_date, filing_id")
+def filings_range_all(spark, d):
+    found = store.filings_between(table(spark, d, "prelim_filing"), dt.date(2010, 1, 1), dt.date(2012, 12, 31))
+    return found.where(F.col("filing_type").startswith("8-")).select("filing_id", "cik", "filing_date").orderBy("filing_date", "filing_id")
+
+
+@query("select cik from (select distinct cik from cik) order by cik desc nulls last limit 50")
+def companies_to_load(spark, d):
+    return pipeline.companies_to_load(table(spark, d, "cik"), 50)
+
+
 @query("select filing_id, cik, filing_date from prelim_filing where upper(filing_type) = '8-K'")
 def current_reports(spark, d):
     return extract.only_current_reports(table(spark, d, "prelim_filing")).select("filing_id", "cik", "filing_date")
