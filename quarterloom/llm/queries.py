@@ -53,7 +53,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
-    return spans.shared_characters(spread(table(spark, d, "documents")))
+    return spans.shared_of_all(spread(table(spark, d, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

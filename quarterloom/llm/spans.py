@@ -378,3 +378,13 @@ def shared_characters(docs: DataFrame, span: int = SPAN, block_limit: int = BLOC
     rep = spans.groupBy("doc").agg(F.collect_set("s").alias("spans")).mapInPandas(_covered, "doc bigint, shared bigint")
     out = classes.join(rep.withColumnRenamed("doc", "rep"), "rep", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("chars").cast("bigint").alias("chars"), F.when(F.col("copies") > 1, F.col("chars")).otherwise(F.coalesce("shared", F.lit(0))).cast("bigint").alias("shared"))
+
+
+def shared_of_all(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+    """``(doc_id, chars, shared)`` of every document: as
+    :func:`shared_characters`, and 0 shared characters for a null, empty or
+    shorter text.  A document without an id gives no row; ``chars`` of a null
+    text is null.  Repeated rows of one document with the same text count once."""
+    short = docs.where(F.col("doc_id").isNotNull() & (F.col("text").isNull() | (F.char_length("text") < span)))
+    rest = short.select("doc_id", "text").distinct().select("doc_id", F.char_length("text").cast("bigint").alias("chars"), F.lit(0).cast("bigint").alias("shared"))
+    return shared_characters(docs, span, block_limit).unionByName(rest)

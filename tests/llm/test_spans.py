@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from quarterloom.llm import spans
+from quarterloom.llm.queries import p9_shared
 from quarterloom.llm.spans import prefix_sums, shared_characters, shared_pairs, window_hashes
 
 SPAN = 200
@@ -74,6 +75,18 @@ def test_edges(spark):
     assert [(r.doc_a, r.doc_b) for r in shared_pairs(frame(spark, long)).collect()] == [(1, 2)]
 
 
+def test_every_document_has_its_shared_characters(spark, tmp_path):
+    r = random.Random(3)
+    t = "".join(r.choice("abcdef") for _ in range(300))
+    docs = [(1, t), (2, t), (3, "x" + t[:250]), (4, t[:199]), (5, None), (6, ""), (7, t[::-1]), (8, "short"), (9, "short")]
+    want = {k: (len(x) if x is not None else None, {1: 300, 2: 300, 3: 250}.get(k, 0)) for k, x in docs}
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = p9_shared(spark, str(tmp_path)).collect()
+    assert len(got) == len(docs) and {r.doc_id: (r.chars, r.shared) for r in got} == want
+    twice = frame(spark, [(1, "ab"), (1, "ab"), (None, "cd"), (2, None)])
+    assert sorted((r.doc_id, r.chars, r.shared) for r in spans.shared_of_all(twice).collect()) == [(1, 2, 0), (2, None, 0)]
+
+
 def test_hashes_do_not_depend_on_the_place():
     c = np.frombuffer(("abc" * 50).encode("utf-32-le"), np.uint32)
     h = window_hashes(prefix_sums(c), slice(None), 30)
