@@ -19,7 +19,10 @@ from quarterloom.functions.let import let
 from quarterloom.session import written
 
 #: Known conversion factors of the mixture.
-FACTORS = (1.0, 1e3, 1e5, 1e6, 1e9)
+FACTORS = (0.01, 1.0, 1e3, 1e5, 1e6, 1e9)
+
+#: Flat density that takes what no component explains.
+FLOOR = 1e-4
 
 #: A posterior below this leaves the unit uncertain.
 SURE = 0.9
@@ -146,9 +149,8 @@ def fit_mixture(bins: list[tuple[float, int]], factors: tuple[float, ...] = FACT
     for _ in range(rounds):
         mass, var = [0.0] * len(mu), 0.0
         for x, c in bins:
-            # a flat floor takes what no component explains
             w = [p * math.exp(-0.5 * ((x - m) / sd) ** 2) / sd for p, m in zip(pi, mu)]
-            s = sum(w) + 1e-4
+            s = sum(w) + FLOOR
             for k, m in enumerate(mu):
                 r = c * w[k] / s
                 mass[k] += r
@@ -164,7 +166,8 @@ def assigned(p: DataFrame, factors: tuple[float, ...] = FACTORS) -> DataFrame:
     the highest posterior), ``q_posterior`` and ``q_uncertain``.
 
     Rows whose company and item are unknown elsewhere, and zero or unreadable
-    figures, have no posterior and are uncertain.
+    figures, have no posterior and are uncertain.  The posterior leaves room
+    for none of the factors, so a figure far from all of them is uncertain.
     """
     lost = p.where(F.col("q_source") == "missing").join(levels(p), ["q_company", "q_item"], "left")
     gap = F.log10(F.nullif(F.abs("q_figure"), F.lit(0.0))) - F.col("q_level")
@@ -174,7 +177,8 @@ def assigned(p: DataFrame, factors: tuple[float, ...] = FACTORS) -> DataFrame:
     lost = lost.withColumn("q_sd", F.sqrt(F.col("q_spread") * F.col("q_spread") + F.lit(sd * sd)))
     score = F.array(*[F.lit(math.log(w)) - F.lit(0.5) * F.pow((F.col("q_gap") + F.lit(math.log10(f))) / F.col("q_sd"), F.lit(2.0)) for w, f in zip(pi, factors)])
     lost = lost.withColumn("q_score", score).withColumn("q_top", F.array_max("q_score"))
-    total = F.aggregate("q_score", F.lit(0.0), lambda t, s: t + F.exp(s - F.col("q_top")))
+    none = F.lit(FLOOR) * F.col("q_sd") * F.exp(-F.col("q_top"))
+    total = F.aggregate("q_score", F.lit(0.0), lambda t, s: t + F.exp(s - F.col("q_top"))) + none
     guess = F.element_at(F.array(*map(F.lit, factors)), F.array_position("q_score", F.col("q_top")).cast("int"))
     known = F.col("q_gap").isNotNull()
     lost = lost.withColumns({"q_guess": F.when(known, guess), "q_posterior": F.when(known, F.lit(1.0) / total)})

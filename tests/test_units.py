@@ -55,3 +55,13 @@ def test_mixture_assigns_missing_units(spark):
     assert [r.q_guess for r in c[:20]] == [1.0] * 20 and not any(r.q_uncertain for r in c[:20])
     assert {r.q_guess for r in c[20:25]} == {1e3} and {r.q_guess for r in c[25:30]} == {1e6}
     assert c[30].q_guess is None and c[30].q_uncertain
+
+
+def test_mixture_knows_cents_and_flags_what_nothing_explains(spark):
+    share = {"item": "Book Value Per Share"}
+    rows = [share | {"src_value": f"{20 + i / 10}", "src_units": "$ per share", "cik": str(c)} for i in range(10) for c in (1, 2)]
+    rows += [share | {"src_value": f"{20 + i / 10}", "cik": "1"} for i in range(10)] + [share | {"src_value": "2,045", "cik": "2"}] * 5 + [share | {"src_value": "204,500", "cik": "1"}, share | {"src_value": "600", "cik": "1"}]
+    c = units.converted(frame(spark, rows), refs(spark), missing="mixture").where("q_source = 'missing'").orderBy("stmt_id").collect()
+    assert [(r.q_guess, r.q_uncertain) for r in c[:10]] == [(1.0, False)] * 10
+    assert [(r.q_guess, r.q_uncertain, round(r.q_amount, 4)) for r in c[10:15]] == [(0.01, False, 20.45)] * 5
+    assert [r.q_uncertain for r in c[15:]] == [True, True]
