@@ -357,6 +357,28 @@ def period_text_parse(spark, d):
     return o.select("y", "q", F.col("k").cast("bigint").alias("k"), grammar.period_column(F.col("t")).alias("period"))
 
 
+def _spelled_by_rule(y: Column, q: Column) -> Column:
+    """A spelling for each of ``PERIOD_RULES``, then a cell for each of
+    ``PERIOD_EXCLUSIONS`` that a rule would read."""
+    pick = lambda *xs: F.element_at(F.array(*map(F.lit, xs)), q.cast("int"))
+    say = lambda t: F.format_string(t, *[c.cast("string") for c in (y, q, pick("March", "June", "September", "December"), pick("31", "30", "30", "31"), pick("first", "second", "third", "fourth"), F.substring(y.cast("string"), 3, 2), pick("3", "6", "9", "12"))])
+    # 1 year, 2 quarter, 3 month, 4 its last day, 5 ordinal, 6 short year, 7 number of the month
+    return F.array(*map(say, (
+        "%2$sQ%6$s", "Qtr %2$s %1$s", "%1$sQ%2$s", "%1$s %5$s quarter", "%5$s quarter %1$s", "Quarter %1$s %5$s",
+        "Three months ended %3$s %4$s, %1$s", "Quarter ended %3$s %4$s, '%6$s", "%3$s %4$s, %1$s", "For the three months ended %7$s/%4$s/%1$s",
+        "Quarter ended %4$s %3$s %1$s (unaudited)", "Three months ended %1$s %3$s %4$s", "%4$s-%3$s-%6$s", "%7$s/%4$s/%6$s", "Q%2$s %1$s", "%1$s QTD", "QTR %1$s", "%1$s %3$s %4$s",
+        "Q%2$s %1$s vs Q%2$s %1$s", "%% change Q%2$s %1$s", "Year-to-date %3$s %4$s, %1$s", "Six months ended %3$s %4$s, %1$s", "Income, nine months ended %3$s %4$s, %1$s", "Income, fiscal year ended %7$s/%4$s/%1$s",
+    )))
+
+
+@query(f"""select y, q, k, case when k in (15, 16) then cast(y as varchar) || 'QTD' when k < 18 then cast(y as varchar) || 'Q' || cast(q as varchar) end as period
+  from {_DATES}, (select unnest(generate_series(0, 23)) as k)""")
+def period_text_rules(spark, d):
+    o = table(spark, d, "orders").select((F.year("o_orderdate") + 10).cast("bigint").alias("y"), F.quarter("o_orderdate").cast("bigint").alias("q")).distinct()
+    o = o.select("y", "q", F.posexplode(_spelled_by_rule(F.col("y"), F.col("q"))).alias("k", "t"))
+    return o.select("y", "q", F.col("k").cast("bigint").alias("k"), grammar.period_column(F.col("t")).alias("period"))
+
+
 @query("""select s, s in ('Three Months Ended', 'December 31,', '2018', 'Q1 (1)', '4Q18', 'as reported', 'YTD', 'First', 'unaudited', 'Percent', '31') as header from (
   select unnest(['Three Months Ended', 'December 31,', '2018', 'Q1 (1)', '4Q18', 'as reported', 'YTD', 'First', 'unaudited', 'Percent', '31', 'Net income', '1,234', 'Total assets', '$ 12.5', 'Book value']) as s)""")
 def header_part_flag(spark, d):
