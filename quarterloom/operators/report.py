@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import html
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -48,12 +50,33 @@ def quality_report(facts: DataFrame, companies: DataFrame, cik: str, items: Sequ
 
 def write_report(frames: dict[str, DataFrame], path: str, rows: int = 10_000, again: bool = False) -> bool:
     """One company's report as an HTML file; an existing one is kept unless
-    ``again``.  A page shows at most ``rows`` lines per frame."""
+    ``again``.  A page shows at most ``rows`` lines per frame; a longer frame
+    is written whole beside it, ``path`` with the frame's name and ``.csv``,
+    and the page says how many lines it leaves out."""
     import os
 
     if os.path.exists(path) and not again:
         return False
-    parts = [f"<h2>{name}</h2>{df.limit(rows).toPandas().to_html(index=False, escape=name != 'sources')}" for name, df in frames.items()]
+    parts = []
+    for name, df in frames.items():
+        shown, note, beside = df.limit(rows + 1).toPandas(), "", f"{path}.{name}.csv"
+        if len(shown) > rows:
+            n = _write_whole(df, beside)
+            note = f"<p>{rows:,} of {n:,} rows, {n - rows:,} left out; all are in {html.escape(os.path.basename(beside))}</p>"
+        elif os.path.exists(beside):
+            os.remove(beside)  # of a longer frame before
+        parts.append(f"<h2>{name}</h2>{note}{shown[:rows].to_html(index=False, escape=name != 'sources')}")
     with open(path, "w", encoding="utf-8") as f:
         f.write(f"<html><meta charset='utf-8'>{''.join(parts)}</html>")
     return True
+
+
+def _write_whole(df: DataFrame, path: str) -> int:
+    """Writes every row, a partition at a time, and counts them."""
+    n = 0
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(df.columns)
+        for n, row in enumerate(df.toLocalIterator(), 1):
+            out.writerow(row)
+    return n

@@ -1,5 +1,6 @@
 """Queries over whole tables that a capped or filtered query stands beside."""
 
+import csv
 import datetime as dt
 import re
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quarterloom.functions import grammar
+from quarterloom.operators import report
 from quarterloom.plans import named
 
 
@@ -57,3 +59,15 @@ def test_every_period_rule_and_exclusion_is_spelled(spark, tmp_path):
     spark.createDataFrame(days, "o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
     got = {(r.y, r.q, r.k): r.period for r in entry.queries()["period_text_rules"](spark, str(tmp_path)).collect()}
     assert got == {(y, q, k): None if k > 17 else f"{y}QTD" if k in (15, 16) else f"{y}Q{q}" for y, q in quarters for k in range(24)}
+
+
+def test_report_keeps_what_the_page_leaves_out(spark, tmp_path):
+    path, df = f"{tmp_path}/r.html", spark.range(25).selectExpr("id", "if(id = 3, null, 'a,é') as t").orderBy("id")
+    assert report.write_report({"values": df, "few": df.limit(10)}, path, rows=10)
+    page = open(path, encoding="utf-8").read()
+    assert "10 of 25 rows, 15 left out" in page and page.count("left out") == 1 and page.count("<tr>") == 20
+    with open(f"{path}.values.csv", encoding="utf-8", newline="") as f:
+        assert list(csv.reader(f)) == [["id", "t"], *[[str(i), "" if i == 3 else "a,é"] for i in range(25)]]
+    assert not (tmp_path / "r.html.few.csv").exists()
+    assert not report.write_report({"values": df}, path) and report.write_report({"values": df}, path, again=True)
+    assert "left out" not in open(path, encoding="utf-8").read() and not (tmp_path / "r.html.values.csv").exists()
