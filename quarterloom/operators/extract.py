@@ -12,14 +12,17 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quarterloom.functions import periods
-from quarterloom.functions.grammar import ITEMS, Item, is_units, label_patterns, parse_period, scale_of, title_exclusions, title_patterns
+from quarterloom.functions.grammar import SPELLINGS, Spelling, is_units, parse_period, scale_of
+from quarterloom.functions.labels import ITEMS, Item, Label, is_label
+from quarterloom.functions.lexer import Phrase
 from quarterloom.functions.text import KEPT
+from quarterloom.functions.titles import STOPS, TITLES, Title, ends_search, title_rank
 from quarterloom.operators.tables import Grid, cell_value, clean, split
 from quarterloom.sources.html import Node, parse
 
@@ -42,19 +45,21 @@ def plain(text: str | None) -> str | None:
     return re.sub(r"\s+", " ", t)[:KEPT]
 
 
-@lru_cache(100_000)
-def _title_rank(text: str, cik: str) -> int | None:
-    t = text.lower()
-    return next((i for i, p in enumerate(title_patterns(cik)) if p.search(t)), None)
+@dataclass(frozen=True)
+class Rules:
+    """What is looked for: items and their labels, titles, texts that end the
+    search for a title, and spellings of a quarter."""
 
+    items: tuple[Item, ...] = ITEMS
+    titles: tuple[Title, ...] = TITLES
+    stops: tuple[Phrase, ...] = STOPS
+    spellings: tuple[Spelling, ...] = SPELLINGS
 
-@lru_cache(100_000)
-def _excluded(text: str) -> bool:
-    t = text.lower()
-    return any(p.search(t) for p in title_exclusions())
 
+RULES = Rules()
 
-def _around(table: Node, stop_after: str | None = None, exclude: bool = False) -> Iterator[str]:
+
+def _around(table: Node, stop_after: str | None = None, stops: tuple[Phrase, ...] = ()) -> Iterator[str]:
     """Texts of the table and then of what stands before it, nearest first.
 
     The search ends before an excluded text's element, behind the second
@@ -68,7 +73,7 @@ def _around(table: Node, stop_after: str | None = None, exclude: bool = False) -
             if left <= 0 and tabular:
                 return
             texts = list(node.texts())
-            if exclude and any(map(_excluded, texts)):
+            if stops and any(ends_search(t, stops) for t in texts):
                 return
             yield from texts
             if stop_after is not None and stop_after in texts:
@@ -79,11 +84,11 @@ def _around(table: Node, stop_after: str | None = None, exclude: bool = False) -
                     return
 
 
-def find_title(table: Node, cik: str = "") -> tuple[str, int] | None:
+def find_title(table: Node, cik: str = "", rules: Rules = RULES) -> tuple[str, int] | None:
     """The best title of a table and its rank."""
     best: tuple[str, int] | None = None
-    for text in _around(table, exclude=True):
-        rank = _title_rank(text, cik)
+    for text in _around(table, stops=rules.stops):
+        rank = title_rank(text, cik, rules.titles)
         if rank is not None and (best is None or rank < best[1]):
             best = text, rank
     return best
@@ -97,7 +102,7 @@ def find_units(table: Node, title: str) -> tuple[str | None, float]:
     return None, 1.0
 
 
-def tables_of(documents: Sequence[str], cik: str) -> list[tuple[int, str, Node, Grid]]:
+def tables_of(documents: Sequence[str], cik: str, rules: Rules = RULES) -> list[tuple[int, str, Node, Grid]]:
     """``(rank, title, node, cleaned grid)`` of the relevant tables, best
     title first and otherwise in document order."""
     out = []
@@ -106,7 +111,7 @@ def tables_of(documents: Sequence[str], cik: str) -> list[tuple[int, str, Node,
         if "<table" not in html.lower():
             continue
         for table in parse(html).walk("table"):
-            if table.has("table") or (title := find_title(table, cik)) is None:
+            if table.has("table") or (title := find_title(table, cik, rules)) is None:
                 continue
             for part in split(table.grid(), prior):
                 out.append((title[1], title[0], table, clean(part)))
@@ -114,18 +119,18 @@ def tables_of(documents: Sequence[str], cik: str) -> list[tuple[int, str, Node,
     return sorted(out, key=lambda t: t[0])
 
 
-def period_columns(header: Sequence[str]) -> list[tuple[int, str]]:
+def period_columns(header: Sequence[str], spellings: tuple[Spelling, ...] = SPELLINGS) -> list[tuple[int, str]]:
     """Columns that tell a period, latest first; among equals the better
     rule, then the leftmost."""
-    found = [(i, p) for i, c in enumerate(header) if i and (p := parse_period(c, header[0]))]
+    found = [(i, p) for i, c in enumerate(header) if i and (p := parse_period(c, header[0], spellings))]
     order = sorted(found, key=lambda x: (x[1][0], x[1][1]), reverse=True)
     return [(i, p[0]) for i, p in order]
 
 
-def _pick(grid: Grid, pattern: re.Pattern, columns: list[tuple[int, str]]) -> tuple[str, str, str, float, str] | None:
+def _pick(grid: Grid, wanted: Label, columns: list[tuple[int, str]]) -> tuple[str, str, str, float, str] | None:
     """Leftmost label column, latest period, topmost row with a number."""
     for label in range(min(c for c, _ in columns)):
-        rows = [r for r in grid if pattern.search(r[label])]
+        rows = [r for r in grid if is_label(r[label], wanted)]
         for col, period in columns:
             for r in rows:
                 v = cell_value(r[col])
@@ -134,14 +139,14 @@ def _pick(grid: Grid, pattern: re.Pattern, columns: list[tuple[int, str]]) -> tu
     return None
 
 
-def items_of(table: tuple[int, str, Node, Grid], items: Sequence[Item] = ITEMS) -> Iterator[tuple]:
+def items_of(table: tuple[int, str, Node, Grid], rules: Rules = RULES) -> Iterator[tuple]:
     rank, title, node, grid = table
-    columns = period_columns(grid[0]) if grid else []
+    columns = period_columns(grid[0], rules.spellings) if grid else []
     if not columns:
         return
     units, scale = find_units(node, title)
-    for item in items:
-        hits = ((n, hit) for n, p in enumerate(label_patterns(item)) if (hit := _pick(grid, p, columns)))
+    for item in rules.items:
+        hits = ((n, hit) for n, label in enumerate(item.labels) if (hit := _pick(grid, label, columns)))
         n, hit = next(hits, (0, None))
         if hit is None:
             continue
@@ -155,7 +160,7 @@ def items_of(table: tuple[int, str, Node, Grid], items: Sequence[Item] = ITEMS)
         yield item.name, n, kept, period, rank, plain(title), plain(row), plain(column), plain(text), plain(own)
 
 
-def extract(submissions: DataFrame, key: Sequence[str] = ("submission",), items: Sequence[Item] = ITEMS) -> DataFrame:
+def extract(submissions: DataFrame, key: Sequence[str] = ("submission",), rules: Rules = RULES) -> DataFrame:
     """All candidate values of each submission: ``key`` columns, the columns
     of ``ROW`` and ``error``.  Needs ``cik`` and ``documents`` (HTML texts);
     submissions without a table do not reach Python."""
@@ -167,8 +172,8 @@ def extract(submissions: DataFrame, key: Sequence[str] = ("submission",), items:
             for r in b.itertuples(index=False):
                 own = tuple(getattr(r, k) for k in key)
                 try:
-                    for t in tables_of([d for d in r.documents if d is not None], r.cik or ""):
-                        rows += [(*own, *x, None) for x in items_of(t, items)]
+                    for t in tables_of([d for d in r.documents if d is not None], r.cik or "", rules):
+                        rows += [(*own, *x, None) for x in items_of(t, rules)]
                 except Exception as e:  # noqa: BLE001 - one filing must not fail the rest
                     rows.append((*own, *[None] * len(NAMES), f"{type(e).__name__}: {e}"[:KEPT]))
             yield pd.DataFrame(rows, columns=[*key, *NAMES, "error"]).astype({"item_rank": "Int64", "table_rank": "Int64"})

@@ -8,14 +8,14 @@ from __future__ import annotations
 import re
 from itertools import groupby
 
-from quarterloom.functions.grammar import HYPHEN, UNAUDITED_EXACT, is_header_part, is_units, parse_period
+from quarterloom.functions.grammar import is_header_part, is_units, parse_period
+from quarterloom.functions.lexer import HYPHENS
 
 Row = list
 Grid = list
 
 _NUMBER = re.compile(r"[$(]?\s*[\d,]+\.?\d*[)%]*")
-_BARE_HYPHEN = re.compile(f"{HYPHEN}+")
-_REMARK = re.compile(UNAUDITED_EXACT, re.I)
+_BARE_HYPHEN = re.compile(f"[{HYPHENS}]+")
 
 
 def cell_value(text: str) -> float | None:
@@ -52,7 +52,7 @@ def is_remark_row(row: Row) -> bool:
     """A row that may stand inside a header but tells no period; a blank one
     does too."""
     cells = _filled(row)
-    return all(map(is_units, cells)) or all(_REMARK.search(c) for c in cells)
+    return all(map(is_units, cells)) or all("unaudited" in c.lower() for c in cells)
 
 
 def is_header_row(row: Row) -> bool:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarterloom.functions import grammar, periods, text
+from quarterloom.functions import grammar, periods, text, titles
 from quarterloom.operators import extract, grids, quality, report, store
 from quarterloom.plans import pipeline
 from quarterloom.session import spread, table
@@ -301,20 +301,50 @@ def sanitize_documents(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", text.sanitize(F.col("text")).alias("clean"))
 
 
-def _title_column(c: Column) -> Column:
-    t = F.lower(c)
-    return F.coalesce(*[F.when(t.rlike(p.pattern), F.lit(i)) for i, p in enumerate(grammar.title_patterns())])
-
-
-def _title_sql(c: str) -> str:
-    arms = " ".join(f"when regexp_matches(lower({c}), '{p.pattern.replace(chr(39), chr(39) * 2)}') then {i}" for i, p in enumerate(grammar.title_patterns()))
-    return f"case {arms} end"
+# Words of a title: lower case, runs of digits as #, without remarks and notes;
+# where letters stand apart, two blanks part the words.
+_TITLE_WORDS = r"""with t as (select distinct src_table from prelim_statement where src_table is not null),
+  a as (select src_table, regexp_replace(regexp_replace(lower(regexp_replace(src_table, '[\x{AD}\x{34F}\x{200B}-\x{200F}\x{2060}\x{FEFF}]', '', 'g')), '[''’]', '', 'g'), '[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]', ' ', 'g') as v from t),
+  b as (select src_table, case when regexp_matches(v, '[a-z] [a-z] [a-z] [a-z] ') then replace(replace(replace(v, '  ', chr(1)), ' ', ''), chr(1), ' ') else v end as v from a),
+  u as (select src_table, regexp_replace(trim(regexp_replace(v, '\(unaudited\)|unaudited', ' ', 'g')), '(\s*(\(\s*[a-z0-9$]\s?[a-z0-9$]?\s*\)|\*))+$', '') as v from b),
+  w as (select src_table, ' ' || array_to_string(list_transform(regexp_extract_all(v, '[a-z]+|[0-9]+'), lambda x: case when x similar to '[0-9]+' then '#' else x end), ' ') || ' ' as w from u)"""
+# Ranks read by hand for the kinds of title that the statements hold.
+_TITLE_KINDS = (
+    (0, " (quarterly |condensed )*consolidated statements?( s)? of ((net|comprehensive) )*(income|earnings|loss|operations) .*"),
+    (1, ".* consolidated statements?( s)? of ((net|comprehensive) )*(income|earnings|loss|operations) (condensed |comprehensive )*"),
+    (4, " (condensed )?consolidated ((financial|selected|key|other) )*(highlights?|summary|results|data) .*"),
+    (5, ".* consolidated ((financial|selected|key|other) )*(highlights?|summary|results|data) (financial )*"),
+    (7, " consolidated balance sheets? .*"),
+    (8, ".* consolidated balance sheets? "),
+    (11, " (quarterly )?(key|summary|supplemental|condensed|#) (quarterly )?(financial|operating) (quarterly )?(highlights|information|results|data) .*"),
+    (12, ".* (key|summary|supplemental|condensed|#) (quarterly )?(financial|operating) (quarterly )?(highlights|information|results|data) .*"),
+    (13, " (selected |quarterly |by |quarter )*(financial|operating|key) (quarterly )?(highlights|information|results|data) (selected |quarterly |by |quarter |continued )*"),
+    (14, " (results|statements?) of operations? .*"),
+    (15, ".* (results|statements?) of operations? .*"),
+    (16, " (select |selected |key |financial |and )*(ratios|data) .*"),
+    (17, " summary of business results .*"),
+    (18, ".* summary of business results .*"),
+    (22, " quarterly performance summary .*"),
+    (23, " statements? of (financial )?condition .*"),
+    (24, " (earnings|revenue) summary .*"),
+    (25, " (financial )?highlights .*"),
+    (26, " statements? of (income|earnings) .*"),
+    (27, " income (statements?|data|summary) .*"),
+    (28, " balance sheet .*"),
+    (29, " net interest income and net interest margin .*"),
+    (32, " per share related information .*"),
+    (33, " income trend (statement )?analysis .*"),
+    (36, " allowance for credit losses .*"),
+    (38, " capital (measures|information|ratios) .*"),
+    (41, " earnings .*"),
+)
+_TITLE_RANKS = "case " + " ".join(f"when w similar to '{pattern}' then {rank}" for rank, pattern in _TITLE_KINDS) + " end"
 
 
-@query(f"select src_table, cast({_title_sql('src_table')} as bigint) as title_rank from (select distinct src_table from prelim_statement where src_table is not null)")
+@query(f"{_TITLE_WORDS} select src_table, cast({_TITLE_RANKS} as bigint) as title_rank from w")
 def title_match(spark, d):
     t = _statements(spark, d).where("src_table is not null").select("src_table").distinct()
-    return t.select("src_table", _title_column(F.col("src_table")).cast("bigint").alias("title_rank"))
+    return t.select("src_table", titles.title_rank_column(F.col("src_table")).alias("title_rank"))
 
 
 _CENTS = "cast(round(l_extendedprice * 100) as bigint)"
@@ -339,27 +369,38 @@ def row_part_flag(spark, d):
 
 
 _DATES = "(select distinct year(o_orderdate) + 10 as y, quarter(o_orderdate) as q from orders)"
-
-
-@query(f"""select y, q, k, cast(y as varchar) || 'Q' || cast(q as varchar) as period from {_DATES}, (select unnest(generate_series(0, 9)) as k)""")
+# A heading in lower case, every blank an ordinary one, without its remark.
+_UNSEEN = r"'[\x{AD}\x{34F}\x{200B}-\x{200F}\x{2060}\x{FEFF}]'"
+_HEAD = rf"trim(regexp_replace(regexp_replace(lower(regexp_replace(src_column, {_UNSEEN}, '', 'g')), '[\x{{00A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\s]+', ' ', 'g'), '\(?unaudited\)?', '', 'g'))"
+_MONTH_Q = "(feb|mar|may|jun|aug|sep|nov|dec)"
+_BY_MONTH = "case m when 'feb' then 1 when 'mar' then 1 when 'may' then 2 when 'jun' then 2 when 'aug' then 3 when 'sep' then 3 when 'nov' then 4 when 'dec' then 4 end"
+
+
+@query(rf"""with t as (select distinct src_column from prelim_statement where src_column is not null), h as (select src_column, {_HEAD} as h from t),
+  p as (select src_column, case
+    when regexp_matches(h, '[1-4]\s*q(tr)?\s*(20)?[0-9][0-9]$') then regexp_extract(h, '([1-4])\s*q(?:tr)?\s*((?:20)?[0-9][0-9])$', ['q', 'y'])
+    when regexp_matches(h, 'q(tr)?\s*[1-4]\s+(20)?[0-9][0-9]$') then regexp_extract(h, 'q(?:tr)?\s*([1-4])\s+((?:20)?[0-9][0-9])$', ['q', 'y'])
+    when regexp_matches(h, '20[0-9][0-9]\s*q\s*[1-4]$') then regexp_extract(h, '()(20[0-9][0-9])\s*q\s*([1-4])$', ['m', 'y', 'q'])
+    when regexp_matches(h, '[0-9][0-9] (first|second|third|fourth)( quarter)?$') then regexp_extract(h, '()((?:20)?[0-9][0-9]) (first|second|third|fourth)', ['m', 'y', 'o'])
+    when regexp_matches(h, '(first|second|third|fourth)( quarter)? (20)?[0-9][0-9]$') then regexp_extract(h, '()(first|second|third|fourth)(?: quarter)? ((?:20)?[0-9][0-9])$', ['m', 'o', 'y'])
+    when regexp_matches(h, '{_MONTH_Q}(ruary|ch|e|ust|t|tember|ember)?\.? [0-9]+, ?(20)?[0-9][0-9]$') then regexp_extract(h, '{_MONTH_Q}(?:ruary|ch|e|ust|t|tember|ember)?\.? [0-9]+, ?((?:20)?[0-9][0-9])$', ['m', 'y'])
+    when regexp_matches(h, '{_MONTH_Q}(ruary|ch|e|ust|t|tember|ember)?\.? [0-9]+ (20)?[0-9][0-9]$') then regexp_extract(h, '{_MONTH_Q}(?:ruary|ch|e|ust|t|tember|ember)?\.? [0-9]+ ((?:20)?[0-9][0-9])$', ['m', 'y'])
+    when regexp_matches(h, '(three months|quarter) ended (28|29|30|31) {_MONTH_Q}(ruary|ch|e|ust|t|tember|ember)?\.? (20)?[0-9][0-9]$') then regexp_extract(h, '{_MONTH_Q}(?:ruary|ch|e|ust|t|tember|ember)?\.? ((?:20)?[0-9][0-9])$', ['m', 'y'])
+    when regexp_matches(h, '[0-9]+-{_MONTH_Q}[a-z]*-[0-9][0-9]$') then regexp_extract(h, '{_MONTH_Q}[a-z]*-([0-9][0-9])$', ['m', 'y'])
+    when regexp_matches(h, '(^|[^0-9])0?(3|6|9|12)/[0-9]+/(20)?[0-9][0-9]$') then regexp_extract(h, '()(3|6|9|12)/[0-9]+/((?:20)?[0-9][0-9])$', ['q', 'n', 'y']) end as x, h from h),
+  r as (select src_column, x.y as y, coalesce(try_cast(nullif(x.q, '') as int), try_cast(x.n as int) // 3,
+    case x.o when 'first' then 1 when 'second' then 2 when 'third' then 3 when 'fourth' then 4 end, {_BY_MONTH.replace("case m", "case x.m")}) as q from p)
+  select src_column, case when y <> '' and q is not null then (case when length(y) = 2 then '20' else '' end) || y || 'Q' || q end as period from r""")
 def period_text_parse(spark, d):
-    o = table(spark, d, "orders").select((F.year("o_orderdate") + 10).alias("y"), F.quarter("o_orderdate").alias("q")).distinct()
-    y, q = F.col("y").cast("string"), F.col("q").cast("string")
-    pick = lambda *xs: F.element_at(F.array(*map(F.lit, xs)), F.col("q").cast("int"))
-    month, last, nth = pick("March", "June", "September", "December"), pick("31", "30", "30", "31"), pick("first", "second", "third", "fourth")
-    short, mm = F.substring(y, 3, 2), pick("3", "6", "9", "12")
-    spelled = F.array(
-        F.concat(q, F.lit("Q"), short), F.concat(F.lit("Q"), q, F.lit(" "), y), F.concat(y, F.lit("Q"), q), F.concat(y, F.lit(" "), nth, F.lit(" quarter")), F.concat(nth, F.lit(" quarter "), y),
-        F.concat(F.lit("Three months ended "), month, F.lit(" "), last, F.lit(", "), y), F.concat(month, F.lit(" "), last, F.lit(", "), y), F.concat(mm, F.lit("/"), last, F.lit("/"), short),
-        F.concat(last, F.lit("-"), month, F.lit("-"), short), F.concat(F.lit("Quarter ended "), last, F.lit(" "), month, F.lit(" "), y, F.lit(" (unaudited)")),
-    )
-    o = o.select(F.col("y").cast("bigint").alias("y"), F.col("q").cast("bigint").alias("q"), F.posexplode(spelled).alias("k", "t"))
-    return o.select("y", "q", F.col("k").cast("bigint").alias("k"), grammar.period_column(F.col("t")).alias("period"))
+    """Headings as the statements have them; ``period_text_rules`` renders
+    the other spellings."""
+    heads = _statements(spark, d).where("src_column is not null").select("src_column").distinct()
+    return heads.select("src_column", grammar.period_column(F.col("src_column")).alias("period"))
 
 
 def _spelled_by_rule(y: Column, q: Column) -> Column:
-    """A spelling for each of ``PERIOD_RULES``, then a cell for each of
-    ``PERIOD_EXCLUSIONS`` that a rule would read."""
+    """Spellings of a quarter, at least one for each of ``SPELLINGS``, then
+    cells that tell a quarter but name something else."""
     pick = lambda *xs: F.element_at(F.array(*map(F.lit, xs)), q.cast("int"))
     say = lambda t: F.format_string(t, *[c.cast("string") for c in (y, q, pick("March", "June", "September", "December"), pick("31", "30", "30", "31"), pick("first", "second", "third", "fourth"), F.substring(y.cast("string"), 3, 2), pick("3", "6", "9", "12"))])
     # 1 year, 2 quarter, 3 month, 4 its last day, 5 ordinal, 6 short year, 7 number of the month
@@ -379,11 +420,19 @@ def period_text_rules(spark, d):
     return o.select("y", "q", F.col("k").cast("bigint").alias("k"), grammar.period_column(F.col("t")).alias("period"))
 
 
-@query("""select s, s in ('Three Months Ended', 'December 31,', '2018', 'Q1 (1)', '4Q18', 'as reported', 'YTD', 'First', 'unaudited', 'Percent', '31') as header from (
-  select unnest(['Three Months Ended', 'December 31,', '2018', 'Q1 (1)', '4Q18', 'as reported', 'YTD', 'First', 'unaudited', 'Percent', '31', 'Net income', '1,234', 'Total assets', '$ 12.5', 'Book value']) as s)""")
+_PLAIN = rf"regexp_replace(lower(regexp_replace(s, {_UNSEEN}, '', 'g')), '[\x{{00A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\s]+', ' ', 'g')"
+
+
+@query(rf"""with t as (select distinct src_column as s from prelim_statement where src_column is not null union select distinct src_row from prelim_statement where src_row is not null),
+  h as (select s, {_PLAIN} as h from t)
+  select s, regexp_matches(h, '(^|[^a-z])(quarters?|years?|ytd|first|second|third|fourth|feb|february|mar|march|may|jun|june|aug|august|sep|sept|september|nov|november|dec|december)([^a-z]|$)')
+    or regexp_matches(h, '(^|[^a-z0-9])(three|six|nine|twelve|3|6|9|12) months?([^a-z]|$)') or regexp_matches(h, '(^|[^a-z])as (reported|adjusted)([^a-z]|$)')
+    or regexp_matches(h, '^\s*[0-9]+/[0-9]+/[0-9]+\s*$') or regexp_matches(h, '^\s*[1-4]\s*q') or regexp_matches(h, '^\s*q[1-4]\s*$')
+    or regexp_matches(h, '([1-4]\s*q(tr)?|q(tr)? ?[1-4])\s*(20)?[0-9][0-9]\s*$') or regexp_matches(h, '[0-9][0-9]\s*q\s*[1-4]\s*$') or regexp_matches(h, '^\s*\(?unaudited\)?\s*$') as header from h""")
 def header_part_flag(spark, d):
-    words = ["Three Months Ended", "December 31,", "2018", "Q1 (1)", "4Q18", "as reported", "YTD", "First", "unaudited", "Percent", "31", "Net income", "1,234", "Total assets", "$ 12.5", "Book value"]
-    return spark.createDataFrame([(w,) for w in words], "s string").select("s", grammar.header_part_column(F.col("s")).alias("header"))
+    s = _statements(spark, d)
+    cells = s.select(F.explode(F.array_distinct(F.array("src_column", "src_row"))).alias("s")).where("s is not null").distinct()
+    return cells.select("s", grammar.header_part_column(F.col("s")).alias("header"))
 
 
 @query("""select stmt_id, case

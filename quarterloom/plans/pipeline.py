@@ -8,7 +8,7 @@ ledger are appended once.  A replayed batch adds nothing.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import udtf
@@ -108,25 +108,32 @@ def report_periods(filings: DataFrame) -> DataFrame:
     return filings.withColumn("report_period", periods.from_fpe_date(F.col("fye_date"), F.col("fpe_date")))
 
 
-@udtf(returnType="item string, item_rank int, item_value double, fiscal_period string, table_rank int, src_row string, src_column string, src_value string, src_units string")
-class StatementItems:
-    """SQL table function: items of one HTML text.
+ITEM_ROW = "item string, item_rank int, item_value double, fiscal_period string, table_rank int, src_row string, src_column string, src_value string, src_units string"
+
+
+def table_function(rules: extract.Rules = extract.RULES) -> type:
+    """SQL table function: items of one HTML text by ``rules``; a third
+    argument, an array of item names, keeps it to these.
 
     ``select f.cik, i.* from filings f, lateral statement_items(f.cik, f.html) i``
     """
 
-    def eval(self, cik: str, html: str):
-        if html:
-            for t in extract.tables_of([html], cik or ""):
-                for x in extract.items_of(t):
-                    yield (*x[:5], *x[6:])
+    class StatementItems:
+        def eval(self, cik: str, html: str, items: list[str] | None = None):
+            own = rules if items is None else replace(rules, items=tuple(i for i in rules.items if i.name in items))
+            if html:
+                for t in extract.tables_of([html], cik or "", own):
+                    for x in extract.items_of(t, own):
+                        yield (*x[:5], *x[6:])
+
+    return udtf(StatementItems, returnType=ITEM_ROW)
 
 
-def register(spark: SparkSession) -> None:
+def register(spark: SparkSession, rules: extract.Rules = extract.RULES) -> None:
     """Makes ``statement_items`` and ``filing_pages`` known to a session."""
     from quarterloom.session import ship
     from quarterloom.sources.filings import ListingSource
 
     ship(spark)
-    spark.udtf.register("statement_items", StatementItems)
+    spark.udtf.register("statement_items", table_function(rules))
     spark.dataSource.register(ListingSource)
