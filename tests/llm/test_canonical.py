@@ -1,7 +1,7 @@
 import itertools
 import random
 
-from quarterloom.functions.fuzzy import SymmetricDelete, squash, tokens, weighted_dl
+from quarterloom.llm.fuzzy import SymmetricDelete, squash, tokens, weighted_dl
 from quarterloom.llm import canonical
 from quarterloom.llm.canonical import Meaning, canonical_cells, match_cells, misses
 from tests.statements import REFS, frame, refs
@@ -73,8 +73,39 @@ def test_cells(spark):
     assert {r.stmt_id for r in canonical_cells(null_id, refs(spark)).collect()} == {None}
 
 
-def test_a_long_reference_list_in_blocks(spark, monkeypatch):
-    df = frame(spark, [{"item": t} for t in ("NET INCOME", "tot. rev", "efficiency ratio", "net interest incm", "net income")])
-    whole = sorted((r.stmt_id, r.ref_id, r.exact) for r in match_cells(df, refs(spark), fields=("item",)).collect())
-    monkeypatch.setattr(canonical, "BLOCK", 2)
-    assert sorted((r.stmt_id, r.ref_id, r.exact) for r in match_cells(df, refs(spark), fields=("item",)).collect()) == whole
+def test_a_long_reference_list_in_pieces(spark, monkeypatch):
+    """Repeated rows, null keys and nulls give the same rows either way."""
+    items = ("NET INCOME", "tot. rev", "efficiency ratio", "net interest incm", "net income", "N.I.I.", "", None, "netincmoe", "PLL / total")
+    tables = ("Table 5: Consolidated balance sheets - UNAUDITED", "Upper Garquay Corp — consol. balance sheets", None, "Résumé of qtrly results", "Consolidatedbalanceshets")
+    rows = [{"item": t, "src_table": tables[n % len(tables)], "src_row": "Net incme / Net income (1)", "stmt_id": n if n % 3 else None} for n, t in enumerate(items)] * 2
+    df = frame(spark, rows)
+    ordered = lambda: sorted(((r.stmt_id or 0, r["field"], r.ref_id, round(r.cost, 6), r.exact) for r in match_cells(df, refs(spark)).collect()))
+    meant = lambda: sorted((str(r["item"]), r.m) for r in canonical.with_meaning(df, refs(spark), "item", "m").collect())
+    whole, spelled = ordered(), meant()
+    assert len(whole) == 2 * (8 + 8 + 10) and len(spelled) == 20
+    monkeypatch.setattr(canonical, "PIECE", 1)
+    assert ordered() == whole and meant() == spelled
+
+
+def test_hot_values_are_joined_in_place(spark, monkeypatch):
+    from quarterloom import joins
+
+    monkeypatch.setattr(joins, "HOT", 3)
+    rows = spark.createDataFrame([("a", i) for i in range(10)] + [("b", 1), ("c", 2)], "k string, i int")
+    values = spark.createDataFrame([("a", 10, 10), ("b", 20, 1)], "k string, v int, n bigint")
+    got = sorted(tuple(r) for r in joins.join_values(rows, values, ["k"]).collect())
+    assert got == sorted([("a", i, 10) for i in range(10)] + [("b", 1, 20)])
+
+
+def test_prefix_dictionary_finds_every_long_word():
+    r = random.Random(4)
+    words = ["".join(r.choice("abc") for _ in range(r.randint(13, 20))) for _ in range(40)]
+    index = SymmetricDelete(words, 2)
+    for w in words:
+        for _ in range(20):
+            x = list(w)
+            for _ in range(2):
+                at = r.randrange(len(x))
+                x[at : at + 1] = r.choice([[], ["a", x[at]], ["b"], [x[at]]])
+            if edits("".join(x), w) <= 2:
+                assert w in index.lookup("".join(x))

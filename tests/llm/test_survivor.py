@@ -1,6 +1,9 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
+from quarterloom.llm import survivor
 from quarterloom.llm.survivor import surviving_records, winners
 from tests.statements import frame, refs
 
@@ -52,3 +55,38 @@ def test_against_brute_force(spark):
 def test_record(spark):
     rec = surviving_records(frame(spark, [{"table_rank": 0, "src_value": None, "item_value": 3}, {"table_rank": 1, "src_value": "5", "src_units": "NM"}]), refs(spark)).collect()
     assert len(rec) == 1 and (rec[0].group_id, rec[0].row_id, float(rec[0].item_value), rec[0].src_value, rec[0].src_units) == (1, 1, 3.0, "5", None)
+
+
+def _random_rows(n):
+    r = random.Random(11)
+    return [{"cik": "1", "table_rank": r.choice([None, 0, 1, 2]), "item_rank": r.choice([None, 0, 3]), "is_overridden": r.choice([None, False, False, True]), "loaded_at": r.choice([None, T(2020, 1, 1), T(2021, 1, 1)]), "src_value": r.choice([None, "5", "6", "7"]), "src_row": r.choice([None] * 40 + ["row"])} for _ in range(n)]
+
+
+def test_a_hot_group_is_split(spark, monkeypatch):
+    rows = _random_rows(400) + [{"cik": "2"}, {"cik": "2", "src_row": "x"}]
+    whole = found(spark, rows)
+    monkeypatch.setattr(survivor, "HOT", 50)
+    monkeypatch.setattr(survivor, "SALTS", 3)
+    assert found(spark, rows) == whole and (401, "src_row") in whole
+
+
+def test_votes_decide(spark, monkeypatch):
+    """Other weights elect other values."""
+    rows = [{"table_rank": 0, "src_value": "a"}, {"table_rank": 1, "src_value": "b"}, {"table_rank": 2, "src_value": "b"}]
+    assert found(spark, rows)[1, "src_value"] == 1
+    votes = {r["field"]: r.votes for r in winners(frame(spark, rows), refs(spark)).collect()}
+    assert votes == {"row": 2**61 + 2**60 + 2**59, "src_value": 2**61}
+    monkeypatch.setattr(survivor, "vote", lambda stronger, later: F.lit(10).cast("bigint") - stronger)
+    assert found(spark, rows)[1, "src_value"] == 2
+    monkeypatch.setattr(survivor, "vote", lambda stronger, later: stronger + later)
+    assert found(spark, rows)[1, "row"] == 3
+
+
+def test_recency_decides_within_a_source(spark):
+    rows = [{"loaded_at": T(2021, 1, 1), "src_value": "a"}, {"loaded_at": T(2022, 1, 1), "src_value": "b"}, {"loaded_at": T(2020, 1, 1), "src_value": "a"}]
+    assert found(spark, rows) == {(1, "row"): 2, (1, "src_value"): 2}
+
+
+def test_rows_without_an_id_and_extra_columns(spark):
+    df = frame(spark, [{"stmt_id": None}, {"stmt_id": 5}, {"stmt_id": 5}]).selectExpr("*", "1 as votes", "2 as source", "'x' as h1", "3 as g_item")
+    assert {(r.group_id, r["field"], r.from_id) for r in winners(df, refs(spark)).collect()} == {(5, "row", 5)}
