@@ -20,6 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 #: Where the public vocabularies lie; a parameter, they are never copied.
@@ -194,16 +195,29 @@ def vocabulary_path(folder: str = TOKENIZERS, name: str = VOCABULARY) -> str:
     return os.path.join(folder, name)
 
 
+def shipped_vocabulary(df: DataFrame, vocabulary: str | None) -> str:
+    """Sends the vocabulary file to the executors; their copy goes by its
+    name."""
+    path = vocabulary or vocabulary_path()
+    if (df.sparkSession.sparkContext.applicationId, path) not in _sent:
+        df.sparkSession.sparkContext.addFile(path)
+        _sent.add((df.sparkSession.sparkContext.applicationId, path))
+    return os.path.basename(path)
+
+
+_sent: set[tuple[str, str]] = set()
+
+
 def token_ids(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``(key, ids)``: the token ids of every text, in place, no shuffle.
 
     Null and empty texts give an empty list; ids of repeated rows repeat; an
     empty table gives no rows; whole texts of any length are encoded.
     """
-    path = vocabulary or vocabulary_path()
+    name = shipped_vocabulary(df, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path).encode
+        enc = encoder(SparkFiles.get(name)).encode
         for b in batches:
             # a few texts at a time: an Arrow batch may hold very long ones
             keys, texts = b.column(0), b.column(1)
@@ -221,10 +235,10 @@ def token_ids(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary
 
 def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``(key, tokens)`` only."""
-    path = vocabulary or vocabulary_path()
+    name = shipped_vocabulary(df, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path).encode
+        enc = encoder(SparkFiles.get(name)).encode
         for b in batches:
             counts = [len(enc(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], ["k", "tokens"])

@@ -2,15 +2,15 @@
 
 Sum-of-squares packing: a document goes where the squared counts of open
 containers per residual gap become smallest, which keeps gaps of every size
-in stock.  Documents come largest first and the smallest ones close the
-tightest gaps.  Only sizes matter, so shards of a bounded number of documents
-are packed independently; a shard leaves about one container unfilled.
+in stock.  In mixed order the rule wastes a bounded number of containers
+however many documents come, if the sizes can be packed well at all; the
+smallest tenth comes last and fills what is open.  For other sizes documents
+come largest first.  Only sizes matter, so shards of a bounded number of documents are
+packed independently; a shard leaves about one container unfilled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -20,21 +20,34 @@ from quarterloom.llm.bpe import token_counts
 CAPACITY = 2048
 
 #: Documents in a shard; sizes and places of a shard fit in any worker.
-SHARD = 20_000
+SHARD = 100_000
+
+#: Tasks at most, each packs one shard after another.
+TASKS = 20_000
+
+#: Shares of the documents, the smallest, that come last, largest first; for
+#: them a container is opened only where no open one has room.  The second
+#: share is tried where the first leaves more than SLACK of the room unused.
+LAST = (0.1, 1.0)
+SLACK = 0.001
 
-#: Shares of the documents, the smallest ones, that close gaps; the next one
-#: is tried where a shard leaves more than SLACK of its room unused.
-CLOSING = (0.2, 0.5, 0.8)
-SLACK = 0.002
 
+def placing_order(sizes: np.ndarray, last: float) -> tuple[np.ndarray, int]:
+    """Positions in mixed order, the smallest share of them last and by size,
+    and the number of those that come before."""
+    by_size = np.argsort(-sizes, kind="stable")
+    before = len(sizes) - int(len(sizes) * last)
+    mixed = np.random.default_rng(0).permutation(by_size[:before])
+    return np.concatenate([mixed, by_size[before:]]), before
 
-def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Container number of each size in ``1..capacity``: the best of the
-    closing shares."""
+
+def pack(sizes: np.ndarray, capacity: int = CAPACITY, lasts: tuple[float, ...] = LAST) -> np.ndarray:
+    """Container number of each size in ``1..capacity``: the run of
+    :func:`sum_of_squares` that needs the fewest."""
     least = -(-int(sizes.sum()) // capacity)
     best: np.ndarray | None = None
-    for share in CLOSING:
-        place = sum_of_squares(sizes, capacity, share)
+    for last in lasts:
+        place = sum_of_squares(sizes, capacity, last)
         if best is None or place.max(initial=-1) < best.max(initial=-1):
             best = place
         if best.max(initial=-1) + 1 <= least * (1 + SLACK) + 1:
@@ -42,8 +55,8 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return best
 
 
-def sum_of_squares(sizes: np.ndarray, capacity: int, share: float) -> np.ndarray:
-    """Container number of each size.
+def sum_of_squares(sizes: np.ndarray, capacity: int, last: float) -> np.ndarray:
+    """Container number of each size, every one chosen by sum of squares.
 
     ``open_[g]`` counts the containers with room ``g``.  Putting size s into a
     container with gap g changes the sum of squares by
@@ -52,8 +65,7 @@ def sum_of_squares(sizes: np.ndarray, capacity: int, share: float) -> np.ndarray
     go to the smallest gap.
     """
     place = np.empty(len(sizes), np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    closing = len(order) - int(len(order) * share)
+    order, before = placing_order(sizes, last)
     open_ = np.zeros(capacity + 1, np.int64)
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
     used = 0
@@ -61,17 +73,13 @@ def sum_of_squares(sizes: np.ndarray, capacity: int, share: float) -> np.ndarray
         s = int(sizes[i])
         here = open_[s:capacity]  # gaps s .. capacity-1
         gap = 0
-        if nth >= closing:
-            fits = np.flatnonzero(here)
-            if len(fits):
-                gap = s + int(fits[0])
-        elif len(here):
+        if len(here):
             change = 2 * open_[: capacity - s] - 2 * here + 2
             change[0] = 1 - 2 * here[0]  # a filled container leaves the count
             change[here == 0] = np.iinfo(np.int64).max
             best = int(change.argmin())
             fresh = 2 * int(open_[capacity - s]) + 1 if s < capacity else 0
-            if here[best] and change[best] <= fresh:
+            if here[best] and (nth >= before or change[best] <= fresh):
                 gap = s + best
         if gap:
             c = stacks[gap].pop()
@@ -88,11 +96,8 @@ def sum_of_squares(sizes: np.ndarray, capacity: int, share: float) -> np.ndarray
     return place
 
 
-def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    got = [b for b in batches if len(b)]
-    if not got:
-        return
-    b = pd.concat(got, ignore_index=True).sort_values(["doc_id", "tokens"], kind="stable", ignore_index=True)
+def _pack_shard(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    b = b.sort_values(["doc_id", "tokens"], kind="stable", ignore_index=True)
     cap = int(b["capacity"].iat[0])
     tokens = b["tokens"].to_numpy()
     full, rest = tokens // cap, tokens % cap
@@ -106,8 +111,8 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     empty = np.flatnonzero(tokens == 0)  # takes no room: any container will do
     parts.append(pd.DataFrame({"row": empty, "piece": 0, "tokens": 0, "container": 0}))
     out = pd.concat(parts, ignore_index=True)
-    base = int(b["shard"].iat[0]) << 32
-    yield pd.DataFrame(
+    base = int(key[0]) << 32
+    return pd.DataFrame(
         {
             "doc_id": b["doc_id"].to_numpy()[out["row"]],
             "piece": out["piece"].to_numpy("int32"),
@@ -130,18 +135,10 @@ def containers(docs: DataFrame, vocabulary: str | None = None, capacity: int = C
     # pandas would turn a column of ids with a null into floats
     none = F.lit(-(1 << 63))
     keyed = counts.select(F.coalesce("doc_id", none).alias("doc_id"), "tokens", F.lit(capacity).alias("capacity"), F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(shards)).cast("int").alias("shard"))
-    packed = keyed.repartition(shards, "shard").mapInPandas(_by_shard, "doc_id bigint, piece int, tokens bigint, container bigint")
+    packed = keyed.repartition(min(shards, TASKS), "shard").groupBy("shard").applyInPandas(_pack_shard, "doc_id bigint, piece int, tokens bigint, container bigint")
     return packed.withColumn("doc_id", F.nullif("doc_id", none))
 
 
-def _by_shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A task may hold more than one shard, or none."""
-    got = [b for b in batches if len(b)]
-    if got:
-        for _, one in pd.concat(got, ignore_index=True).groupby("shard"):
-            yield from _shards(iter([one]))
-
-
 def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Containers used, tokens and the share of room that is filled."""
     t = packed.where("tokens > 0")

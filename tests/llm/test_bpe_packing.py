@@ -76,6 +76,9 @@ def test_packing_is_valid_and_tight():
     for low, high, n in ((1, 2049, 3000), (100, 900, 3000), (1000, 1100, 500), (1, 2, 50)):
         s = r.integers(low, high, n)
         assert check(s, pack(s), 2048) <= 1.01 * best_fit_decreasing(s.tolist(), 2048) + 2
+    s = r.lognormal(6, 0.8, 6000).astype(int) % 2048 + 1
+    pure = check(s, pack(s, 2048, (0.0,)), 2048)
+    assert check(s, pack(s), 2048) <= pure <= 1.01 * s.sum() / 2048 + 2 and check(s, pack(s), 2048) <= 1.003 * s.sum() / 2048 + 2
     assert len(pack(np.array([], int))) == 0 and pack(np.array([2048, 2048])).tolist() == [0, 1]
 
 
@@ -110,7 +113,7 @@ def test_containers(spark):
     text = "word " * 5000
     data = [(i, "Net income rose. " * (i % 40)) for i in range(200)] + [(500, text), (501, None), (502, ""), (503, text), (None, "a b")]
     df = spark.createDataFrame(data, "doc_id bigint, text string").selectExpr("*", "0 as shard", "'x' as tokens")
-    for shard in (20_000, 30):
+    for shard in (100_000, 30):
         got = containers(df, shard=shard).toPandas()
         assert set(got.doc_id.dropna()) == {k for k, _ in data if k is not None} and got.doc_id.isna().sum() == 1
         room = got.groupby("container").tokens.sum()
