@@ -52,12 +52,23 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_pairs(spread(table(spark, d, "documents")))
 
 
+def p9_minima(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of p9_found by the anchors taken where there are too many
+    blocks for the bitmap."""
+    return spans.shared_pairs(spread(table(spark, d, "documents")), block_limit=0)
+
+
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Class of copies and number of links of every document."""
+    return spans.class_links(spread(table(spark, d, "documents")))
+
+
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_of_all(spread(table(spark, d, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p2_found, p2_plain, p3_found, p3_misses, p6_found, p6_records, p7_ids, p8_containers, p8_fill, p9_found, p9_shared)
+    own = (p2_found, p2_plain, p3_found, p3_misses, p6_found, p6_records, p7_ids, p8_containers, p8_fill, p9_found, p9_minima, p9_classes, p9_shared)
     return {f.__name__: f for f in own}
 
 

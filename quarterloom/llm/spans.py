@@ -13,17 +13,20 @@ Whole-text copies are found first and take part once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from quarterloom.joins import join_values
 from quarterloom.session import written
 
 SPAN = 200
 
-#: Texts are hashed together up to this many characters.
+#: Texts are hashed together up to this many characters; a longer one in
+#: overlapping pieces.
 SEGMENT = 1 << 19
 
 #: Bits of the bitmap per indexed block, and its largest size (64 MB).
@@ -40,6 +43,9 @@ ID_LIMIT = 1_000_000
 #: Windows around an anchor start every STEP characters.
 STEP = 20
 
+#: Windows in more rows than this meet by their exact spans, not in pairs.
+CROWD = 1_000
+
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _u = np.uint64
@@ -84,22 +90,45 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Several texts at a time: ids, starts (one more than ids) and codes."""
-    ids: list[int] = []
+class Segment(NamedTuple):
+    """Pieces of texts hashed together: id of the text, place of the piece in
+    ``codes`` (one more than pieces), place of its first letter in the text,
+    and the part of it, from ``low`` to ``high``, whose windows are its own."""
+
+    ids: np.ndarray
+    start: np.ndarray
+    base: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    codes: np.ndarray
+
+
+def _segments(batches: Iterator[pa.RecordBatch], before: int, after: int, step: int = 1) -> Iterator[Segment]:
+    """Short texts together, long ones in pieces that overlap by ``before``
+    and ``after`` letters and begin at multiples of ``step``."""
+    cut = max(step, SEGMENT // step * step)
+    rows: list[tuple[int, int, int, int]] = []
     parts: list[np.ndarray] = []
     total = 0
+
+    def whole() -> Segment:
+        ids, base, low, high = (np.array(x, np.int64) for x in zip(*rows))
+        return Segment(ids, np.r_[0, np.cumsum([len(x) for x in parts])], base, low, high, np.concatenate(parts))
+
     for b in batches:
         for k, t in zip(b.column(0).to_pylist(), b.column(1)):
-            c = _codes(t.as_py())
-            if total and total + len(c) > SEGMENT:
-                yield np.array(ids, np.int64), np.r_[0, np.cumsum([len(x) for x in parts])], np.concatenate(parts)
-                ids, parts, total = [], [], 0
-            ids.append(k)
-            parts.append(c)
-            total += len(c)
+            text = t.as_py()
+            for lo in range(0, len(text), cut):
+                a, hi = max(0, lo - before), min(len(text), lo + cut)
+                c = _codes(text[a : min(len(text), hi + after)])
+                if total and total + len(c) > SEGMENT:
+                    yield whole()
+                    rows, parts, total = [], [], 0
+                rows.append((k, a, lo - a, hi - a))
+                parts.append(c)
+                total += len(c)
     if parts:
-        yield np.array(ids, np.int64), np.r_[0, np.cumsum([len(x) for x in parts])], np.concatenate(parts)
+        yield whole()
 
 
 def _rows(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, block: np.ndarray | bool) -> pa.RecordBatch:
@@ -114,11 +143,11 @@ def indexed_blocks(texts: DataFrame, w: int) -> DataFrame:
     """Hash of each non-overlapping block of ``w`` characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, start, codes in _segments(batches):
-            n = np.diff(start) // w
-            doc = np.repeat(np.arange(len(ids)), n)
+        for t in _segments(batches, 0, w - 1, w):
+            n = np.minimum(-(-t.high // w), np.diff(t.start) // w)
+            doc = np.repeat(np.arange(len(t.ids)), n)
             pos = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * w
-            yield _rows(window_hashes(prefix_sums(codes), start[doc] + pos, w), ids[doc], pos, True)
+            yield _rows(window_hashes(prefix_sums(t.codes), t.start[doc] + pos, w), t.ids[doc], t.base[doc] + pos, True)
 
     return texts.mapInArrow(run, ANCHOR)
 
@@ -180,13 +209,13 @@ def probed_windows(texts: DataFrame, bitmap: np.ndarray, bits: int, w: int) -> D
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, start, codes in _segments(batches):
-            h = window_hashes(prefix_sums(codes), slice(None), w)
+        for t in _segments(batches, 0, w - 1):
+            h = window_hashes(prefix_sums(t.codes), slice(None), w)
             at = _in_bitmap(shared.value, h, bits)
-            doc = np.searchsorted(start, at, side="right") - 1
-            pos = at - start[doc]
-            ok = (at + w <= start[doc + 1]) & (pos % w != 0)
-            yield _rows(h[at[ok]], ids[doc[ok]], pos[ok], False)
+            doc = np.searchsorted(t.start, at, side="right") - 1
+            pos = at - t.start[doc]
+            ok = (at + w <= t.start[doc + 1]) & (pos < t.high[doc]) & ((pos + t.base[doc]) % w != 0)
+            yield _rows(h[at[ok]], t.ids[doc[ok]], (pos + t.base[doc])[ok], False)
 
     return texts.mapInArrow(run, ANCHOR)
 
@@ -207,16 +236,17 @@ def local_minima(texts: DataFrame, w: int, span: int) -> DataFrame:
     t = span - w + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, start, codes in _segments(batches):
-            s = prefix_sums(codes)
-            for i, k in enumerate(ids):
-                h = window_hashes(s, np.arange(start[i], max(start[i], start[i + 1] - w + 1)), w)
+        for p in _segments(batches, t - 1, t + w - 2):
+            s = prefix_sums(p.codes)
+            for i, k in enumerate(p.ids):
+                h = window_hashes(s, np.arange(p.start[i], max(p.start[i], p.start[i + 1] - w + 1)), w)
                 if len(h) < t:
                     continue
                 low = _sliding(h, t, np.minimum)
                 wide = np.concatenate([np.zeros(t - 1, np.uint64), low, np.zeros(t - 1, np.uint64)])
                 pos = np.flatnonzero(_sliding(wide, t, np.maximum) == h)
-                yield _rows(h[pos], np.full(len(pos), k), pos, True)
+                pos = pos[(pos >= p.low[i]) & (pos < p.high[i])]
+                yield _rows(h[pos], np.full(len(pos), k), p.base[i] + pos, True)
 
     return texts.mapInArrow(run, ANCHOR)
 
@@ -227,13 +257,13 @@ def _without(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return df.join(F.broadcast(ids) if few else ids, "doc", how)
 
 
-def copy_classes(docs: DataFrame, span: int) -> DataFrame:
+def copy_classes(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``(doc, rep, chars, copies)`` of the texts of at least ``span`` code
     points; ``rep`` is the least id with that very text."""
-    own = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), F.sha2("text", 256).alias("digest"), F.char_length("text").alias("chars"))
-    own = own.distinct()
-    rep = own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    return own.join(rep, "digest").select("doc", "rep", "chars", "copies")
+    own = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), F.unhex(F.sha2("text", 256)).alias("digest"), F.char_length("text").alias("chars"))
+    own = written(own.distinct(), "digests")
+    rep = written(own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.count(F.lit(1)).alias("n")), "digest-classes")
+    return join_values(own, rep, ["digest"]).select("doc", "rep", "chars", "copies")
 
 
 def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> DataFrame:
@@ -250,8 +280,18 @@ def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> Data
         every = written(local_minima(texts, w, span), "minima")
     # a pair is found at a block of its lesser document: what comes before
     # the first indexed one or is indexed last of all brings none together
-    groups = every.groupBy("h").agg(F.min(F.when(F.col("block"), F.col("doc"))).alias("a"), F.max("doc").alias("b")).where("a < b")
-    return every.join(groups, "h").where("(block and doc < b) or doc > a").select("h", "doc", "pos", "block")
+    groups = every.groupBy("h").agg(F.min(F.when(F.col("block"), F.col("doc"))).alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b")
+    return join_values(every, written(groups, "anchor-groups"), ["h"]).where("(block and doc < b) or doc > a").select("h", "doc", "pos", "block")
+
+
+def _hashed(text: str, x: np.ndarray, v: int) -> Iterator[tuple[int, int, int]]:
+    """Place and two hashes of the windows at the places ``x``, in order; a
+    long text is taken piece by piece."""
+    for lo in range(0, len(text), SEGMENT):
+        own = x[(x >= lo) & (x < lo + SEGMENT)]
+        if len(own):
+            s = prefix_sums(_codes(text[lo : lo + SEGMENT + v]))
+            yield from zip(own.tolist(), window_hashes(s, own - lo, v).view(np.int64).tolist(), window_hashes(s, own - lo, v - 7).view(np.int64).tolist())
 
 
 def keys(texts: DataFrame, found: DataFrame, span: int) -> DataFrame:
@@ -276,16 +316,12 @@ def keys(texts: DataFrame, found: DataFrame, span: int) -> DataFrame:
                 p = ps.values.to_numpy()
                 rows: dict[tuple, list[int]] = {}
                 indexed: set[tuple] = set()
-                s = None
                 for block, own in ((True, -1 - p[p < 0]), (False, p[p >= 0])):
                     x = np.unique((own[:, None] - offsets[None, :]).ravel())
                     x = x[(x >= 0) & (x + v <= len(text))]
                     if not len(x):
                         continue
-                    s = prefix_sums(_codes(text)) if s is None else s
-                    h = window_hashes(s, x, v).view(np.int64)
-                    g = window_hashes(s, x, v - 7).view(np.int64)
-                    for q, a, c in zip(x.tolist(), h.tolist(), g.tolist()):
+                    for q, a, c in _hashed(text, x, v):
                         key = (a, c, text[max(0, q - STEP) : q], text[q + v : q + v + STEP])
                         if block:
                             indexed.add(key)
@@ -314,14 +350,43 @@ def _extension(al: pd.Series, bl: pd.Series, ar: pd.Series, br: pd.Series) -> pd
     return pd.DataFrame({"before": [common(x[::-1], y[::-1]) for x, y in zip(al, bl)], "after": [common(x, y) for x, y in zip(ar, br)]}, dtype="int32")
 
 
-def matches(k: DataFrame) -> DataFrame:
-    """Pairs of windows of two texts that grow to the span length:
-    ``(doc_a, doc_b, h, g, al, ar, bl, br, before, after)``, found at the
-    indexed blocks of the lesser document."""
-    a = k.where("block").select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
-    b = k.select("h", "g", F.col("doc").alias("doc_b"), F.col("left").alias("bl"), F.col("right").alias("br"))
-    both = a.join(b, ["h", "g"]).where("doc_a < doc_b")
-    return both.withColumn("e", _extension("al", "bl", "ar", "br")).select("*", "e.before", "e.after").drop("e").where(F.col("before") + F.col("after") >= STEP)
+def repeated(k: DataFrame) -> DataFrame:
+    """Rows of :func:`keys` whose window stands in two texts, with ``crowd``,
+    the number of rows that hold it."""
+    size = F.count(F.lit(1))
+    groups = k.groupBy("h", "g").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), size.alias("n"), size.alias("crowd")).where("a < b").drop("a", "b")
+    return join_values(k, written(groups, "window-groups"), ["h", "g"])
+
+
+def exact_spans(rows: DataFrame) -> DataFrame:
+    """A row for each span of ``span`` letters around the window of a row:
+    ``before`` letters of it stand before the window; ``e`` tells apart the
+    letters around windows with the same hashes."""
+    befores = F.filter(F.sequence(F.lit(0), F.lit(STEP)), lambda n: (n <= F.char_length("left")) & (STEP - n <= F.char_length("right")))
+    out = rows.withColumn("before", F.explode(befores))
+    around = F.struct("before", F.expr("right(`left`, before)"), F.expr(f"left(`right`, {STEP} - before)"))
+    return out.withColumn("e", F.xxhash64(around))
+
+
+def representative_pairs(r: DataFrame) -> DataFrame:
+    """``(doc_a, doc_b)``, ``doc_a < doc_b``, of different texts with a span in
+    common, from :func:`repeated`; each may come more than once.
+
+    Windows are compared in pairs, found at the indexed blocks of the lesser
+    document, and extended letter by letter.  A crowded window, such as a
+    phrase of many texts just shorter than the span, would bring together all
+    of them: there the exact spans around it meet, and only true pairs do.
+    """
+    few, many = r.where(F.col("crowd") <= CROWD), r.where(F.col("crowd") > CROWD)
+    a = few.where("block").select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
+    b = few.select("h", "g", F.col("doc").alias("doc_b"), F.col("left").alias("bl"), F.col("right").alias("br"))
+    grown = a.join(b, ["h", "g"]).where("doc_a < doc_b").withColumn("e", _extension("al", "bl", "ar", "br")).where(F.col("e.before") + F.col("e.after") >= STEP)
+    pairs = grown.select("doc_a", "doc_b")
+    if many.isEmpty():
+        return pairs
+    exact = exact_spans(many).select("h", "g", "e", "doc", "block").distinct()
+    a, b = exact.where("block").select("h", "g", "e", F.col("doc").alias("doc_a")), exact.select("h", "g", "e", F.col("doc").alias("doc_b"))
+    return pairs.unionByName(a.join(b, ["h", "g", "e"]).where("doc_a < doc_b").select("doc_a", "doc_b"))
 
 
 def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame, DataFrame]:
@@ -329,7 +394,32 @@ def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame,
     texts = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), "text")
     texts = _without(texts, classes.where("doc <> rep").select("doc"), "left_anti")
     found = written(anchors(texts, span, block_limit), "found")
-    return classes, written(keys(texts, found, span), "keys")
+    return classes, written(repeated(written(keys(texts, found, span), "keys")), "repeated")
+
+
+def shared_classes(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """``(doc, rep, chars, copies)``, the class of whole copies of every text
+    of at least ``span`` characters, and ``(doc_a, doc_b)``, the pairs of
+    representatives of different classes that share a span.  Nothing grows
+    with the square of a class."""
+    classes, r = _prepared(docs, span, block_limit)
+    return classes, written(representative_pairs(r).distinct(), "pairs")
+
+
+def class_links(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+    """``(doc_id, class_id, copies, links)`` of every document with an id: the
+    least id with the same text, how many such documents there are, and the
+    number of documents that share a span with it, copies included.  A null,
+    empty or shorter text is alone and has no links."""
+    classes, pairs = shared_classes(docs, span, block_limit)
+    size = classes.where("doc = rep").select("rep", F.col("copies").cast("bigint").alias("copies"))
+    both = pairs.select(F.col("doc_a").alias("rep"), F.col("doc_b").alias("other")).unionByName(pairs.select(F.col("doc_b").alias("rep"), F.col("doc_a").alias("other")))
+    links = both.join(size.select(F.col("rep").alias("other"), "copies"), "other").groupBy("rep").agg(F.sum("copies").alias("others"))
+    of_class = written(size.join(links, "rep", "left").select("rep", F.coalesce("others", F.lit(0)).alias("others"), F.col("copies").alias("n")), "links")
+    told = join_values(classes.select("doc", "rep", "copies"), of_class, ["rep"])
+    rows = told.select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), F.col("copies").cast("bigint").alias("copies"), (F.col("others") + F.col("copies") - 1).cast("bigint").alias("links"))
+    short = docs.where(F.col("doc_id").isNotNull() & (F.col("text").isNull() | (F.char_length("text") < span))).select("doc_id").distinct()
+    return rows.unionByName(short.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("copies"), F.lit(0).cast("bigint").alias("links")))
 
 
 def shared_pairs(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
@@ -338,10 +428,10 @@ def shared_pairs(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIM
 
     Null, empty and shorter texts share nothing, nor do texts without an id;
     repeated rows of one document count once; an empty table gives no rows;
-    extra columns are ignored.
+    extra columns are ignored.  The last step writes out the classes of
+    :func:`shared_classes` pair by pair.
     """
-    classes, k = _prepared(docs, span, block_limit)
-    pairs = matches(k).select("doc_a", "doc_b").distinct()
+    classes, pairs = shared_classes(docs, span, block_limit)
     # every member of a class stands for its representative
     a = classes.select(F.col("rep").alias("doc_a"), F.col("doc").alias("x"))
     b = classes.select(F.col("rep").alias("doc_b"), F.col("doc").alias("y"))
@@ -365,18 +455,38 @@ def _covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc": b["doc"], "shared": out})
 
 
+_WINDOW = ["h", "g", "left", "right"]
+
+
+def shared_stretches(r: DataFrame, span: int) -> DataFrame:
+    """``(doc, lo, hi)``: stretches of a text that stand in another one, from
+    :func:`repeated`, without pairing texts.
+
+    Rows of a window that are alike to both sides are put together first: in
+    two texts or more, all of it is shared.  Of the others each exact span is
+    shared that two texts hold.
+    """
+    around = written(r.groupBy(*_WINDOW).agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")), "around")
+    alike = around.where("a < b").select(*_WINDOW, F.array(F.struct(F.char_length("left").alias("before"), F.char_length("right").alias("after"))).alias("reach"), "n")
+    spans = exact_spans(around).select(*_WINDOW, "before", "e", "a", "b", "n")
+    shared = spans.groupBy("h", "g", "e").agg(F.min("a").alias("least"), F.max("b").alias("most"), F.count(F.lit(1)).alias("m")).where("least < most").select("h", "g", "e", "m")
+    lone = spans.where("a = b").join(shared.drop("m"), ["h", "g", "e"])
+    reach = F.collect_set(F.struct("before", (STEP - F.col("before")).alias("after")))
+    parts = lone.groupBy(*_WINDOW).agg(reach.alias("reach"), F.max("n").alias("n"))
+    every = written(alike.unionByName(parts), "reach")
+    at = join_values(r.select(*_WINDOW, "doc", "xs"), every, _WINDOW).select("doc", F.explode("xs").alias("x"), "reach").select("doc", "x", F.inline("reach"))
+    return at.select("doc", (F.col("x") - F.col("before")).alias("lo"), (F.col("x") + span - STEP + F.col("after")).alias("hi")).where(F.col("hi") - F.col("lo") >= span)
+
+
 def shared_characters(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
     """``(doc_id, chars, shared)``: for each text of at least ``span``
     characters how many of them also stand in another text, in stretches of
     at least ``span``.  A text with a copy is shared as a whole."""
-    classes, k = _prepared(docs, span, block_limit)
-    m = matches(k)
-    side = lambda p: m.select(F.col(f"doc_{p}").alias("doc"), "h", "g", F.col(f"{p}l").alias("left"), F.col(f"{p}r").alias("right"), "before", "after")
-    grown = side("a").unionByName(side("b")).distinct()
-    at = k.join(grown, ["doc", "h", "g", "left", "right"]).withColumn("x", F.explode("xs"))
-    spans = at.select("doc", F.struct((F.col("x") - F.col("before")).alias("lo"), (F.col("x") + span - STEP + F.col("after")).alias("hi")).alias("s"))
-    rep = spans.groupBy("doc").agg(F.collect_set("s").alias("spans")).mapInPandas(_covered, "doc bigint, shared bigint")
-    out = classes.join(rep.withColumnRenamed("doc", "rep"), "rep", "left")
+    classes, r = _prepared(docs, span, block_limit)
+    spans = shared_stretches(r, span).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    rep = spans.mapInPandas(_covered, "doc bigint, shared bigint")
+    # only a text without copies is asked for; it is its own representative
+    out = classes.join(rep, "doc", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("chars").cast("bigint").alias("chars"), F.when(F.col("copies") > 1, F.col("chars")).otherwise(F.coalesce("shared", F.lit(0))).cast("bigint").alias("shared"))
 
 

@@ -65,6 +65,30 @@ def test_pairs_and_coverage_against_brute_force(spark):
     assert {r.doc_id: r.shared for r in shared_characters(df).collect()} == brute_shared(docs)
 
 
+def test_long_texts_are_cut_and_crowds_meet_by_exact_spans(spark, monkeypatch):
+    docs = corpus(4)
+    want, df = brute(docs), frame(spark, docs)
+    monkeypatch.setattr(spans, "SEGMENT", 300)  # most texts are longer
+    monkeypatch.setattr(spans, "CROWD", 3)
+    for limit in (spans.BLOCK_LIMIT, 0):
+        assert sorted((r.doc_a, r.doc_b) for r in shared_pairs(df, block_limit=limit).collect()) == want
+        assert {r.doc_id: r.shared for r in shared_characters(df, block_limit=limit).collect()} == brute_shared(docs)
+
+
+def test_classes_and_links(spark):
+    docs = corpus(1)
+    links = {k: 0 for k, _ in docs}
+    for a, b in brute(docs):
+        links[a] += 1
+        links[b] += 1
+    got = {r.doc_id: r for r in spans.class_links(frame(spark, docs)).collect()}
+    assert {k: r.links for k, r in got.items()} == links
+    text = dict(docs)
+    for k, r in got.items():
+        same = [j for j, t in docs if t == text[k]] if len(text[k] or "") >= SPAN else [k]
+        assert (r.class_id, r.copies) == (min(same), len(same))
+
+
 def test_edges(spark):
     r = random.Random(2)
     t = "".join(r.choice("abcdef") for _ in range(300))
