@@ -55,9 +55,16 @@ def unloaded(listed: DataFrame, facts: DataFrame) -> DataFrame:
     return listed.alias("a").join(facts.select(*CORE).distinct().alias("b"), _alike("a", "b", CORE), "left_anti")
 
 
+def absent(table: DataFrame, rows: DataFrame, keys: tuple[str, ...] = CORE) -> DataFrame:
+    """One row of ``rows`` for each key that the table does not hold.  The
+    table's side is thinned to the batch's keys before anything moves, if the
+    optimizer sees that the batch is small."""
+    new = rows.dropDuplicates(list(keys))
+    return new.alias("a").join(table.select(*keys).alias("b"), _alike("a", "b", keys), "left_anti")
+
+
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys: tuple[str, ...] = CORE) -> DataFrame:
-    new = rows.dropDuplicates(list(keys)).alias("a").join(table.select(*keys).distinct().alias("b"), _alike("a", "b", keys), "left_anti")
-    return table.unionByName(new)
+    return table.unionByName(absent(table, rows, keys))
 
 
 def delete_for_reload(facts: DataFrame, cik: str, start: dt.date, end: dt.date | None = None) -> DataFrame:
@@ -72,10 +79,11 @@ def override(facts: DataFrame, rows: DataFrame) -> DataFrame:
     return kept.unionByName(rows.withColumn("is_overridden", F.lit(True)), allowMissingColumns=True)
 
 
-def changed(original: DataFrame, edited: DataFrame) -> DataFrame:
-    """Original rows with the edited columns where any of them differs."""
-    e = edited.select("filing_date", "item", *[F.col(c).alias(f"new_{c}") for c in OVERRIDES])
-    j = original.join(e, ["filing_date", "item"])
+def changed(original: DataFrame, edited: DataFrame, keys: tuple[str, ...] = ("filing_date", "item")) -> DataFrame:
+    """Original rows with the edited columns where any of them differs; the
+    keys are those of one editing session, which knows its company."""
+    e = edited.select(*keys, *[F.col(c).alias(f"new_{c}") for c in OVERRIDES]).alias("b")
+    j = original.alias("a").join(e, _alike("a", "b", keys)).select("a.*", *[F.col(f"b.new_{c}") for c in OVERRIDES])
     differs = reduce(Column.__or__, [~F.col(f"new_{c}").eqNullSafe(F.col(c)) for c in OVERRIDES])
     return j.where(differs).select(*[F.col(f"new_{c}").alias(c) if c in OVERRIDES else F.col(c) for c in original.columns])
 
@@ -102,7 +110,12 @@ def persistable(df: DataFrame) -> DataFrame:
 
 
 class Store:
-    """Tables under one folder; ``replace`` writes aside and swaps."""
+    """Tables under one folder.
+
+    ``replace`` writes the new content aside and swaps it in by two renames;
+    whoever opens the table after a crash between them finishes the swap, so
+    a table is always there as it was before or after.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -113,24 +126,48 @@ class Store:
     def _at(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def exists(self, name: str) -> bool:
+    def _there(self, name: str) -> bool:
         return self._fs.exists(self._path(self._at(name)))
 
+    def _rename(self, a: str, b: str) -> None:
+        self._fs.rename(self._path(self._at(a)), self._path(self._at(b)))
+
+    def _recover(self, name: str) -> None:
+        """Ends a swap that was cut short: the new content if it is whole,
+        else the old."""
+        if self._there(name):
+            return
+        if self._there(f"{name}.new/_SUCCESS"):
+            self._rename(f"{name}.new", name)
+        elif self._there(f"{name}.old"):
+            self._rename(f"{name}.old", name)
+
+    def exists(self, name: str) -> bool:
+        self._recover(name)
+        return self._there(name)
+
     def create(self, name: str, schema: T.StructType) -> None:
         if not self.exists(name):
             self.spark.createDataFrame([], schema).write.parquet(self._at(name))
 
     def read(self, name: str) -> DataFrame:
+        self._recover(name)
         return self.spark.read.parquet(self._at(name))
 
     def append(self, name: str, df: DataFrame) -> None:
+        self._recover(name)
         df.write.mode("append").parquet(self._at(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        new, old = f"{self._at(name)}.new", f"{self._at(name)}.old"
-        df.write.mode("overwrite").parquet(new)
-        self._fs.delete(self._path(old), True)
-        if self.exists(name):
-            self._fs.rename(self._path(self._at(name)), self._path(old))
-        self._fs.rename(self._path(new), self._path(self._at(name)))
-        self._fs.delete(self._path(old), True)
+        """``df`` may read the table it replaces."""
+        self._recover(name)
+        df.write.mode("overwrite").parquet(self._at(f"{name}.new"))
+        self._fs.delete(self._path(self._at(f"{name}.old")), True)
+        if self._there(name):
+            self._rename(name, f"{name}.old")
+        self._rename(f"{name}.new", name)
+        self._fs.delete(self._path(self._at(f"{name}.old")), True)
+
+    def save_companies(self, df: DataFrame) -> None:
+        """The company dimension, truncated and loaded anew."""
+        self.replace("company", df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in COMPANY.fields]))

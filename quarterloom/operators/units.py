@@ -3,7 +3,8 @@
 A unit inside the figure's own text goes before the unit column.  Where both
 are missing, a mixture on the log scale, whose components are offset by the
 known conversion factors, gives each factor a posterior; rows without a clear
-winner are flagged.  Everything but the matching of item names stays in the
+winner are flagged.  The same mixture tells the scale of stored values, which
+have no unit of their own.  Everything but the matching of item names stays in the
 JVM; the fit sees a histogram of bounded size.
 """
 
@@ -21,9 +22,20 @@ from quarterloom.session import written
 #: Known conversion factors of the mixture.
 FACTORS = (0.01, 1.0, 1e3, 1e5, 1e6, 1e9)
 
+#: Factors between a stored value and the amount it stands for: the value may
+#: be short of it or have been scaled twice.
+SCALINGS = tuple(sorted({1.0, *(x for f in FACTORS for x in (f, 1 / f))}))
+
+#: Most spread of a component of the scalings: a value off by 50 or more lies
+#: over six of them from the component of none.
+CLOSE = 0.25
+
 #: Flat density that takes what no component explains.
 FLOOR = 1e-4
 
+#: Levels of companies and items that may be broadcast (40 bytes each).
+LEVELS = 1_000_000
+
 #: A posterior below this leaves the unit uncertain.
 SURE = 0.9
 
@@ -138,11 +150,12 @@ def levels(p: DataFrame) -> DataFrame:
     return known.groupBy("q_company", "q_item").agg(F.avg(x).alias("q_level"), F.coalesce(F.stddev_pop(x), F.lit(0.0)).alias("q_spread"), F.count(F.lit(1)).alias("q_known"))
 
 
-def fit_mixture(bins: list[tuple[float, int]], factors: tuple[float, ...] = FACTORS, rounds: int = 50) -> tuple[list[float], float]:
-    """Weights and common spread of a mixture of normals at the offsets
-    ``-log10(factor)``, from a histogram of ``log10|figure| - level``."""
+def fit_mixture(bins: list[tuple[float, int]], factors: tuple[float, ...] = FACTORS, rounds: int = 50, most: float = 1.0) -> tuple[list[float], float]:
+    """Weights and common spread, at most ``most``, of a mixture of normals at
+    the offsets ``-log10(factor)``, from a histogram of ``log10|figure| -
+    level``."""
     mu = [-math.log10(f) for f in factors]
-    pi, sd = [1.0 / len(mu)] * len(mu), 0.5
+    pi, sd = [1.0 / len(mu)] * len(mu), min(0.5, most)
     n = sum(c for _, c in bins)
     if not n:
         return pi, sd
@@ -157,58 +170,81 @@ def fit_mixture(bins: list[tuple[float, int]], factors: tuple[float, ...] = FACT
                 var += r * (x - m) ** 2
         total = sum(mass) or 1.0
         pi = [(m + 0.5) / (total + 0.5 * len(mu)) for m in mass]
-        sd = min(1.0, max(0.05, math.sqrt(var / total)))
+        sd = min(most, max(0.05, math.sqrt(var / total)))
     return pi, sd
 
 
-def assigned(p: DataFrame, factors: tuple[float, ...] = FACTORS) -> DataFrame:
-    """Rows of ``parsed`` without a unit, with ``q_guess`` (the factor of
-    the highest posterior), ``q_posterior`` and ``q_uncertain``.
+def by_posterior(rows: DataFrame, factors: tuple[float, ...], most: float = 1.0, spread: Column | None = None) -> DataFrame:
+    """``rows`` with ``q_guess``, the factor of the highest posterior of the
+    mixture fitted to their column ``q_gap``, ``q_posterior`` and
+    ``q_uncertain``.
 
-    Rows whose company and item are unknown elsewhere, and zero or unreadable
-    figures, have no posterior and are uncertain.  The posterior leaves room
-    for none of the factors, so a figure far from all of them is uncertain.
+    A null gap has no posterior and is uncertain.  The posterior leaves room
+    for none of the factors, so a gap far from all of them is uncertain.  The
+    fit sees a histogram of at most 801 bins; ``spread`` widens the components
+    row by row.
     """
-    lost = p.where(F.col("q_source") == "missing").join(levels(p), ["q_company", "q_item"], "left")
-    gap = F.log10(F.nullif(F.abs("q_figure"), F.lit(0.0))) - F.col("q_level")
-    lost = lost.withColumn("q_gap", gap)
-    bins = [(r[0] / 20.0, r[1]) for r in lost.where("q_gap is not null").groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.round(F.col("q_gap") * 20))).cast("int").alias("b")).count().collect()]
-    pi, sd = fit_mixture(bins, factors)
-    lost = lost.withColumn("q_sd", F.sqrt(F.col("q_spread") * F.col("q_spread") + F.lit(sd * sd)))
+    bins = [(r[0] / 20.0, r[1]) for r in rows.where("q_gap is not null").groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.round(F.col("q_gap") * 20))).cast("int").alias("b")).count().collect()]
+    pi, sd = fit_mixture(bins, factors, most=most)
+    wide = F.lit(sd) if spread is None else F.sqrt(spread * spread + F.lit(sd * sd))
     score = F.array(*[F.lit(math.log(w)) - F.lit(0.5) * F.pow((F.col("q_gap") + F.lit(math.log10(f))) / F.col("q_sd"), F.lit(2.0)) for w, f in zip(pi, factors)])
-    lost = lost.withColumn("q_score", score).withColumn("q_top", F.array_max("q_score"))
+    out = rows.withColumn("q_sd", wide).withColumn("q_score", score).withColumn("q_top", F.array_max("q_score"))
     none = F.lit(FLOOR) * F.col("q_sd") * F.exp(-F.col("q_top"))
     total = F.aggregate("q_score", F.lit(0.0), lambda t, s: t + F.exp(s - F.col("q_top"))) + none
     guess = F.element_at(F.array(*map(F.lit, factors)), F.array_position("q_score", F.col("q_top")).cast("int"))
     known = F.col("q_gap").isNotNull()
-    lost = lost.withColumns({"q_guess": F.when(known, guess), "q_posterior": F.when(known, F.lit(1.0) / total)})
-    return lost.withColumn("q_uncertain", F.coalesce(F.col("q_posterior") < SURE, F.lit(True))).drop("q_gap", "q_sd", "q_score", "q_top")
+    out = out.withColumns({"q_guess": F.when(known, guess), "q_posterior": F.when(known, F.lit(1.0) / total)})
+    return out.withColumn("q_uncertain", F.coalesce(F.col("q_posterior") < SURE, F.lit(True))).drop("q_sd", "q_score", "q_top")
+
+
+def assigned(p: DataFrame, factors: tuple[float, ...] = FACTORS) -> DataFrame:
+    """Rows of ``parsed`` without a unit, with the factor that the mixture
+    assigns, see :func:`by_posterior`.  The level is that of the same company
+    and item where a unit is told; without one, and for zero or unreadable
+    figures, there is no posterior."""
+    known = levels(p)
+    few = known.limit(LEVELS + 1).count() <= LEVELS
+    lost = p.where(F.col("q_source") == "missing").join(F.broadcast(known) if few else known, ["q_company", "q_item"], "left")
+    lost = lost.withColumn("q_gap", F.log10(F.nullif(F.abs("q_figure"), F.lit(0.0))) - F.col("q_level"))
+    return by_posterior(lost, factors, spread=F.col("q_spread")).drop("q_gap")
 
 
 def converted(df: DataFrame, refs: DataFrame, key: str = "stmt_id", missing: str = "dollars") -> DataFrame:
     """One row per row of ``df``: key, figure, factor, source of the unit and
     amount, and for rows without a unit the mixture's factor, posterior and
-    uncertainty.  ``missing='dollars'`` takes such figures as dollars,
-    ``missing='mixture'`` converts them by the factor assigned.
+    uncertainty.  ``missing='dollars'`` takes such figures as dollars and fits
+    nothing, ``missing='mixture'`` converts them by the factor assigned.
 
     Extra columns do not disturb; nulls in any column give null amounts.
     """
-    p = parsed(df.select(key, "cik", "item", "item_value", "src_value", "src_units"), refs)
+    p = parsed(df.select(key, "cik", "item", "item_value", "src_value", "src_units"), refs).drop("cik", "item", "src_value", "src_units")
+    unknown = {"q_guess": F.lit(None).cast("double"), "q_posterior": F.lit(None).cast("double"), "q_uncertain": F.lit(False)}
+    if missing != "mixture":
+        return spread_out(p).withColumns(unknown).withColumn("q_amount", F.col("q_figure") * F.coalesce("q_factor", F.lit(1.0)))
     # parsed once, read three times
-    p = spread_out(written(p.drop("cik", "item", "src_value", "src_units"), "units"))
-    a = assigned(p)
-    told = p.where(F.col("q_source") != "missing").withColumns({"q_guess": F.lit(None).cast("double"), "q_posterior": F.lit(None).cast("double"), "q_uncertain": F.lit(False)})
-    both = told.unionByName(a.select(*told.columns))
-    default = F.coalesce("q_guess", F.lit(1.0)) if missing == "mixture" else F.lit(1.0)
-    return both.withColumn("q_amount", F.col("q_figure") * F.coalesce("q_factor", default))
+    p = spread_out(written(p, "units"))
+    told = p.where(F.col("q_source") != "missing").withColumns(unknown)
+    both = told.unionByName(assigned(p).select(*told.columns))
+    return both.withColumn("q_amount", F.col("q_figure") * F.coalesce("q_factor", "q_guess", F.lit(1.0)))
+
+
+def value_scalings(df: DataFrame, refs: DataFrame, key: str = "stmt_id") -> DataFrame:
+    """Rows with a stored value and a readable figure, and the unit of the
+    stored value: ``item_value`` has none of its own, so the mixture assigns
+    one.  Its level is the amount in dollars that the row's text tells;
+    ``q_guess`` is the factor that makes the value that amount."""
+    c = written(converted(df, refs, key).where("item_value is not null and q_amount is not null").select(key, F.col("item_value").cast("double").alias("v"), "q_amount"), "values")
+    size = lambda x: F.log10(F.nullif(F.abs(x), F.lit(0.0)))
+    return by_posterior(c.withColumn("q_gap", size("v") - size("q_amount")), SCALINGS, most=CLOSE)
 
 
 def misconverted(df: DataFrame, refs: DataFrame, key: str = "stmt_id", factor: float = 50.0) -> DataFrame:
     """``key`` of the rows whose ``item_value`` is off the amount in dollars
-    by ``factor`` or more either way.  Zero against anything else is off
+    by ``factor`` or more either way: those to which the mixture assigns
+    another scale, or none surely, checked exactly.  Zero against anything else is off
     without bound; zero against zero is right."""
-    c = converted(df, refs, key)
-    v, a = F.abs(F.col("item_value").cast("double")), F.abs("q_amount")
+    c = value_scalings(df, refs, key).where(F.col("q_uncertain") | (F.col("q_guess") != 1.0))
+    v, a = F.abs("v"), F.abs("q_amount")
     # the ratio is compared with a little slack for decimals read as doubles
     off = (F.greatest(v, a) >= F.least(v, a) * (factor * (1 - 1e-9))) & ~((v == 0) & (a == 0))
-    return c.where(v.isNotNull() & a.isNotNull() & off).select(key)
+    return c.where(off).select(key)

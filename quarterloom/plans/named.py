@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarterloom.functions import grammar, periods, text, titles
+from quarterloom.functions.companies import company_number
 from quarterloom.operators import extract, grids, quality, report, store
 from quarterloom.plans import pipeline
-from quarterloom.session import spread, table
+from quarterloom.session import shared_folder, spread, table
 from quarterloom.sources import filings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,14 +34,21 @@ def _statements(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "prelim_statement")
 
 
-def _best(spark: SparkSession, d: str) -> DataFrame:
-    return quality.query_prelims(_statements(spark, d))
+def _numbered(df: DataFrame) -> DataFrame:
+    """``cik`` as the company number its text denotes, null for none."""
+    return df.withColumn("cik", company_number(F.col("cik")))
+
+
+def _best(spark: SparkSession, d: str, keep: tuple[str, ...] = quality.CHECKED) -> DataFrame:
+    return quality.query_prelims(_numbered(_statements(spark, d)), keep=keep)
 
 
 _ITEMS = ", ".join(f"'{i}'" for i in quality.ITEMS)
-_BEST = """best as (select * exclude (rn) from (
+#: The company number a text denotes.
+NUMBER = "try_cast(nullif(regexp_replace(regexp_replace(translate(cik, '０１２３４５６７８９', '0123456789'), '\\.0*\\s*$', ''), '[^0-9]', '', 'g'), '') as bigint)"
+_BEST = f"""best as (select * exclude (rn) from (
   select *, row_number() over (partition by cik, filing_date, item order by table_rank nulls last, item_rank nulls last, filing_href, stmt_id) as rn
-  from prelim_statement where item_value is not null) where rn = 1)"""
+  from (select * replace ({NUMBER} as cik) from prelim_statement) where item_value is not null) where rn = 1)"""
 _Q = "(cast(substr(fiscal_period, 1, 4) as int) * 4 + cast(substr(fiscal_period, 6, 1) as int) - 1)"
 _TEXT = lambda q: f"(cast({q} // 4 as varchar) || 'Q' || cast({q} % 4 + 1 as varchar))"
 
@@ -105,7 +114,7 @@ def fye_from_mmdd(spark, d):
 
 
 # --- quality ---------------------------------------------------------------------
-_CHECKS = f"""{_BEST}, s as (select *, {_Q} as q from best),
+_CHECKS_OF_BEST = f"""s as (select *, {_Q} as q from best),
   ranges as (select cik, min(q) - 1 as a, max(q) + 1 as b from s group by cik),
   pairs as (select distinct cik, item from s),
   miss as (select p.cik, p.item, t.q from pairs p join ranges r on p.cik is not distinct from r.cik, lateral (select unnest(generate_series(r.a + 1, r.b - 1)) as q) t
@@ -113,6 +122,7 @@ _CHECKS = f"""{_BEST}, s as (select *, {_Q} as q from best),
   lags as (select cik, item, q, cast(item_value as double) as v, lag(cast(item_value as double)) over (partition by cik, item, q order by filing_date, filing_href, stmt_id) as p from s),
   dup as (select distinct cik, item, q from lags where p is not null and ((p <> 0 and abs(1 - v / p) >= 0.25) or (p = 0 and v <> 0))),
   outl as (select distinct cik, item, q from s where abs(cast(item_value as double)) > 1e12)"""
+_CHECKS = f"{_BEST}, {_CHECKS_OF_BEST}"
 _RUNS = lambda t: (
     f"(select cik, item, min(q) as a, max(q) as b, count(*) as n from (select cik, item, q, q - row_number() over (partition by cik, item order by q) as g from {t}) group by cik, item, g)"
 )
@@ -124,9 +134,9 @@ _ALL = f"""select p.cik, p.item, cast(null as varchar) as period, 'empty' as msg
   union all select cik, item, {_PERIOD}, 'outlier', 'Potential outlier' from {_RUNS('outl')} where item in ({_ITEMS})"""
 
 
-@query(f"with {_CHECKS} select cik, item, {_TEXT('q')} as period from miss where cik is not null")
+@query(f"with {_CHECKS} select cik, item, {_TEXT('q')} as period from miss")
 def missing_periods(spark, d):
-    return quality.missing_periods(_best(spark, d).where("cik is not null")).select("cik", "item", periods.text_of(F.col("q")).alias("period"))
+    return quality.missing_periods(_best(spark, d)).select("cik", "item", periods.text_of(F.col("q")).alias("period"))
 
 
 @query(f"with {_CHECKS} select cik, item, {_TEXT('q')} as period from dup")
@@ -139,10 +149,10 @@ def outlier_periods(spark, d):
     return quality.outlier_periods(_best(spark, d)).select("cik", "item", periods.text_of(F.col("q")).alias("period"))
 
 
-@query(f"""with {_CHECKS} select p.cik, p.item from (select * from (select distinct cik from s where cik is not null), (select unnest([{_ITEMS}]) as item)) p
-  where not exists (select 1 from s where s.cik = p.cik and s.item = p.item)""")
+@query(f"""with {_CHECKS} select p.cik, p.item from (select * from (select distinct cik from s), (select unnest([{_ITEMS}]) as item)) p
+  where not exists (select 1 from s where s.cik is not distinct from p.cik and s.item = p.item)""")
 def empty_items(spark, d):
-    return quality.empty_items(_best(spark, d).where("cik is not null"))
+    return quality.empty_items(_best(spark, d))
 
 
 @query(f"with {_CHECKS}, obs as (select distinct cik, item, q from s) select cik, item, {_PERIOD} as period from {_RUNS('obs')}")
@@ -151,22 +161,23 @@ def compress_periods(spark, d):
     return quality.compress(s)
 
 
-@query(f"with {_CHECKS} select * from ({_ALL}) where cik is not null")
+@query(f"with {_CHECKS} select * from ({_ALL})")
 def validate_all(spark, d):
-    return quality.validate(_best(spark, d).where("cik is not null"))
+    return quality.validate(_best(spark, d))
 
 
 @query(f"""with {_CHECKS}, said as (select cik, item, count(*) filter (msg_type = 'missing') as missing, count(*) filter (msg_type = 'duplicate') as duplicate,
     count(*) filter (msg_type = 'outlier') as outlier from ({_ALL}) group by 1, 2),
   stats as (select cik, item, count(fiscal_period) as count, min(fiscal_period) as start, max(fiscal_period) as "end" from s where item in ({_ITEMS}) group by 1, 2),
-  grid as (select * from (select distinct cik from s where cik is not null), (select unnest([{_ITEMS}]) as item)),
-  names as (select cik, min(company_name) as company_name, min(ticker) as ticker from cik group by 1)
+  grid as (select * from (select distinct cik from s), (select unnest([{_ITEMS}]) as item)),
+  names as (select {NUMBER} as cik, min(company_name) as company_name, min(ticker) as ticker from cik group by 1)
   select g.cik, n.company_name, n.ticker, g.item, coalesce(t.count, 0) as count,
     cast(case when t.count is null then coalesce(max(t.count) over (partition by g.cik), 0) else coalesce(m.missing, 0) end as bigint) as missing,
     coalesce(m.duplicate, 0) as duplicate, coalesce(m.outlier, 0) as outlier, coalesce(t.start, '-') as start, coalesce(t."end", '-') as "end"
-  from grid g left join stats t on g.cik = t.cik and g.item = t.item left join said m on g.cik = m.cik and g.item = m.item left join names n on g.cik = n.cik""")
+  from grid g left join stats t on g.cik is not distinct from t.cik and g.item = t.item left join said m on g.cik is not distinct from m.cik and g.item = m.item left join names n on g.cik = n.cik
+  order by g.cik, company_name, ticker, g.item""")
 def summarize(spark, d):
-    return quality.summarize(_best(spark, d).where("cik is not null"), table(spark, d, "cik"))
+    return quality.summarize(_best(spark, d), _numbered(table(spark, d, "cik")))
 
 
 # --- reports ---------------------------------------------------------------------
@@ -233,14 +244,16 @@ def override_merge(spark, d):
     return store.override(facts.drop("table_rank"), new.drop("table_rank", "is_overridden")).select("stmt_id", "item_value", "is_overridden")
 
 
-@query(f"""with {_BEST}, e as (select filing_date, item, stmt_id, cik, fpe_date, fiscal_period, case when item_rank = 1 then item_value + 1 else item_value end as item_value, item_value as old from best where cik is not null)
-  select cik, stmt_id, cast(item_value as double) as item_value from e where item_value is distinct from old""")
+@query(f"""with {_BEST}, e as (select filing_date, item, stmt_id, cik, case when item_rank = 1 then item_value + 1 else item_value end as item_value, item_value as old,
+    case when item_rank = 2 then null else fiscal_period end as fiscal_period, fiscal_period as old_period from best)
+  select cik, stmt_id, cast(item_value as double) as item_value, fiscal_period from e where item_value is distinct from old or fiscal_period is distinct from old_period""")
 def changed_rows(spark, d):
-    best = _best(spark, d).where("cik is not null")
-    # one editing session per company: the grid's key is date and item
-    edited = best.withColumn("new_value", F.when(F.col("item_rank") == 1, F.col("item_value") + 1).otherwise(F.col("item_value")))
-    diff = edited.where(~F.col("new_value").eqNullSafe(F.col("item_value")))
-    return diff.select("cik", "stmt_id", F.col("new_value").cast("double").alias("item_value"))
+    best = _best(spark, d, keep=("cik", "stmt_id", "filing_date", "item", "item_rank", *store.OVERRIDES))
+    rank = F.col("item_rank")
+    value = F.when(rank == 1, F.col("item_value") + 1).otherwise(F.col("item_value")).cast("decimal(21,5)")
+    edited = best.withColumns({"item_value": value, "fiscal_period": F.when(rank == 2, F.lit(None)).otherwise(F.col("fiscal_period"))})
+    diff = store.changed(best, edited, keys=("cik", "filing_date", "item"))
+    return diff.select("cik", "stmt_id", F.col("item_value").cast("double").alias("item_value"), "fiscal_period")
 
 
 _COMPANY = "(select min(cik) from prelim_statement where cik similar to '[0-9]{10}')"
@@ -262,6 +275,13 @@ def discard(spark, d):
     return store.discard(_statements(spark, d), led, c, day)[1].select("filing_id", "is_prelim")
 
 
+@query(f"""select stmt_id from prelim_statement where not coalesce(cik = {_COMPANY} and filing_date = (select min(filing_date) from prelim_statement where cik = {_COMPANY}), false)""")
+def discard_facts(spark, d):
+    facts, c = _statements(spark, d), _company(spark, d)
+    day = facts.where(F.col("cik") == c).agg(F.min("filing_date")).first()[0]
+    return store.discard(facts, table(spark, d, "prelim_filing"), c, day)[0].select("stmt_id")
+
+
 @query(f"""select cik, filing_date, filing_type, filing_href from prelim_filing
   union all select distinct cik, filing_date, filing_type, filing_href from prelim_statement a where not exists (select 1 from prelim_filing b where a.{_KEY})""")
 def insert_if_absent(spark, d):
@@ -274,17 +294,52 @@ def high_water_mark(spark, d):
     return store.high_water_mark(_statements(spark, d))
 
 
-@query("select filing_id, cik, filing_date from prelim_filing where filing_date between date '2010-01-01' and date '2012-12-31' and filing_type like '8-%' order by filing_date, filing_id limit 1000")
-def filings_range(spark, d):
-    return store.filings_between(table(spark, d, "prelim_filing"), dt.date(2010, 1, 1), dt.date(2012, 12, 31)).where(F.col("filing_type").startswith("8-")).select("filing_id", "cik", "filing_date").orderBy("filing_date", "filing_id").limit(1000)
-
-
 @query("select filing_id, cik, filing_date from prelim_filing where filing_date between date '2010-01-01' and date '2012-12-31' and filing_type like '8-%' order by filing_date, filing_id")
-def filings_range_all(spark, d):
+def filings_range(spark, d):
     found = store.filings_between(table(spark, d, "prelim_filing"), dt.date(2010, 1, 1), dt.date(2012, 12, 31))
     return found.where(F.col("filing_type").startswith("8-")).select("filing_id", "cik", "filing_date").orderBy("filing_date", "filing_id")
 
 
+@query("select c.* from cik c where exists (select 1 from prelim_statement s where s.cik = c.cik) order by c.cik")
+def companies_with_statements(spark, d):
+    """Full scan of the dimension, ascending."""
+    return table(spark, d, "cik").join(_statements(spark, d).select("cik"), "cik", "left_semi").orderBy("cik")
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/quarterloom/{name}-{uuid.uuid4().hex}"
+
+
+@query("select cik, sic, sic_description, company_name, ticker from cik")
+def companies_saved(spark, d):
+    """The company dimension loaded twice: truncated, then filled."""
+    s = store.Store(spark, _place(spark, "store"))
+    companies = table(spark, d, "cik")
+    s.save_companies(companies.where("ticker is not null"))
+    s.save_companies(companies)
+    return s.read("company")
+
+
+@query("select cik, sic, sic_description, company_name, ticker from cik")
+def companies_csv(spark, d):
+    """Written as CSV and read by the source of the dimension."""
+    path = _place(spark, "csv")
+    report.write_csv(table(spark, d, "cik").select(*store.COMPANY.fieldNames()), path)
+    return filings.companies(spark, path)
+
+
+@query(f"""with best as (select * exclude (rn) from (select *, row_number() over (partition by cik, filing_date, item order by table_rank nulls last, item_rank nulls last, filing_href, stmt_id) as rn
+    from prelim_statement where item_value is not null and cik is not null) where rn = 1),
+  {_CHECKS_OF_BEST},
+  said as (select cik, count(*) as n from ({_ALL}) group by 1)
+  select cik, 'company' as section, count(*) as lines from cik c where cik is not null and exists (select 1 from best b where b.cik = c.cik) group by 1
+  union all select cik, 'values', count(*) from best group by 1 union all select cik, 'sources', count(*) from best group by 1 union all select cik, 'messages', n from said""")
+def report_lines(spark, d):
+    """Lines in each section of the reports of all companies."""
+    lines = report.report_lines(_statements(spark, d), table(spark, d, "cik"), quality.ITEMS)
+    return lines.groupBy("cik", "section").agg(F.max("nth").cast("bigint").alias("lines"))
+
+
 @query("select cik from (select distinct cik from cik) order by cik desc nulls last limit 50")
 def companies_to_load(spark, d):
     return pipeline.companies_to_load(table(spark, d, "cik"), 50)
@@ -360,12 +415,22 @@ def cell_value_parse(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.item_value(shown).alias("v"), (k == 3).alias("blank"))
 
 
-@query("""select distinct cast(l_quantity as int) as n, not (cast(l_quantity as int) between 28 and 31) as plain, true as money, true as hyphen, false as word from lineitem""")
+@query("""select l_orderkey, l_linenumber, not (l_quantity between 28 and 31) as plain, not (floor(l_extendedprice) between 28 and 31 or floor(l_extendedprice) between 2000 and 2050) as money, true as hyphen, false as word from lineitem""")
 def row_part_flag(spark, d):
-    n = table(spark, d, "lineitem").select(F.col("l_quantity").cast("int").alias("n")).distinct()
-    t = F.col("n").cast("string")
+    lines = table(spark, d, "lineitem")
+    t, money = F.col("l_quantity").cast("int").cast("string"), F.format_number(F.floor("l_extendedprice"), 0)
     part = text.is_row_part
-    return n.select("n", part(t).alias("plain"), part(F.concat(F.lit("$ 1,"), F.lpad(t, 3, "0"))).alias("money"), part(F.lit("–")).alias("hyphen"), part(F.concat(t, F.lit(" months"))).alias("word"))
+    return lines.select("l_orderkey", "l_linenumber", part(t).alias("plain"), part(F.concat(F.lit("$ "), money)).alias("money"), part(F.lit("–")).alias("hyphen"), part(F.concat(t, F.lit(" months"))).alias("word"))
+
+
+@query(r"""with b as (select stmt_id, regexp_replace(src_value, '[$%,*]', '', 'g') as bare from prelim_statement where src_value is not null),
+  t as (select stmt_id, bare, regexp_replace(bare, '\s+', '', 'g') as tight from b),
+  n as (select *, regexp_extract(tight, '^\(([0-9.]+)', 1) as bracket, regexp_extract(tight, '([0-9.]+)', 1) as first from t)
+  select stmt_id, case when regexp_full_match(bare, '[—–\x{96}\x{97}-]+') then 0.0 when not regexp_matches(bare, '[0-9]') then null
+    when bracket <> '' then -coalesce(try_cast(bracket as double), 'nan'::double) else coalesce(try_cast(first as double), 'nan'::double) end as value from n""")
+def cell_values(spark, d):
+    """The figures of the statements' own cells."""
+    return _statements(spark, d).where("src_value is not null").select("stmt_id", text.item_value(F.col("src_value")).alias("value"))
 
 
 _DATES = "(select distinct year(o_orderdate) + 10 as y, quarter(o_orderdate) as q from orders)"
@@ -535,36 +600,65 @@ def extract_items_e2e(spark, d):
     return best.select("cik", "fiscal_period", "item", "item_value", "src_units")
 
 
-@query("select cik, filing_date, filing_type, filing_href from prelim_filing where cik is not null and filing_date >= date '2010-01-01'")
+def _xml(c: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+def _list_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger as XML list pages below a root of their own; addresses have
+    an entity, every third filing an XBRL link, every tenth page breaks off."""
+    led = table(spark, d, "prelim_filing")
+    xbrl = F.when(F.col("filing_id") % 3 == 0, F.lit("<XBRLREF>x</XBRLREF>")).otherwise(F.lit(""))
+    entry = F.concat(F.lit("<filing><dateFiled>"), F.col("filing_date").cast("string"), F.lit("</dateFiled><type>"), _xml(F.col("filing_type")), F.lit("</type><filingHREF>"), _xml(F.concat("filing_href", F.lit("?a&b"))), F.lit("</filingHREF>"), xbrl, F.lit("</filing>"))
+    pages = led.select(F.coalesce("cik", F.lit("")).alias("cik"), F.floor(F.col("filing_id") / 100).alias("page"), entry.alias("e")).groupBy("cik", "page").agg(F.array_join(F.collect_list("e"), "\n").alias("e"))
+    end = F.when(F.col("page") % 10 == 9, F.lit("<oops")).otherwise(F.lit("</results></list>"))
+    return pages.select("cik", F.concat(F.lit("<?xml version='1.0'?><list><results>"), F.col("e"), end).alias("xml"))
+
+
+_LISTED = "select coalesce(cik, '') as cik, filing_date, filing_type, filing_href || '?a&b' as filing_href from prelim_filing where (filing_id // 100) % 10 <> 9 and filing_type like '8-%'"
+
+
+@query(_LISTED)
 def xml_filing_list(spark, d):
-    led = table(spark, d, "prelim_filing").where("cik is not null")
-    entry = F.concat(F.lit("<filing><dateFiled>"), F.col("filing_date").cast("string"), F.lit("</dateFiled><type>"), F.col("filing_type"), F.lit("</type><filingHREF>"), F.col("filing_href"), F.lit("</filingHREF></filing>"))
-    pages = led.select("cik", F.pmod("filing_id", F.lit(97)).alias("page"), entry.alias("e")).groupBy("cik", "page").agg(F.array_join(F.collect_list("e"), "\n").alias("e"))
-    xml = pages.select("cik", F.concat(F.lit("<results>"), F.col("e"), F.lit("</results>")).alias("xml"))
-    return filings.filing_list(xml, start=dt.date(2010, 1, 1))
+    return filings.filing_list(_list_pages(spark, d))
 
 
-@query("select cik, sic, coalesce(nullif(trim(sic_description), ''), 'Unknown') as sic_description, trim(company_name) as company_name from cik where cik is not null and trim(cik) = cik and company_name is not null")
-def company_info(spark, d):
-    c = table(spark, d, "cik").where("cik is not null and trim(cik) = cik and company_name is not null")
-    esc = lambda n: F.replace(F.coalesce(n, F.lit("")), F.lit("&"), F.lit("&amp;"))
-    xml = F.concat(F.lit("<r><companyInfo><CIK>"), esc(F.col("cik")), F.lit("</CIK><SIC>"), esc(F.col("sic")), F.lit("</SIC><SICDescription>"), esc(F.col("sic_description")), F.lit("</SICDescription><name>"), esc(F.col("company_name")), F.lit("</name></companyInfo></r>"))
-    return filings.company_info(c.select(xml.alias("xml")))
+@query(f"{_LISTED} and filing_id % 3 = 0 and filing_date between date '2010-01-01' and date '2014-12-31'")
+def xml_filing_list_xbrl(spark, d):
+    return filings.filing_list(_list_pages(spark, d), require_xbrl=True, start=dt.date(2010, 1, 1), end=dt.date(2014, 12, 31))
 
 
-@query("""select filing_id, filing_href as href, filing_date as fpe_date, cast(make_date(year(filing_date) + case when (case when day(filing_date) > 7 then month(filing_date) else month(filing_date) - 1 end) > 12 then 1 else 0 end, 12, 31) as date) as fye_date
-  from prelim_filing where filing_href like '%.txt'""")
-def landing_pages(spark, d):
-    led = table(spark, d, "prelim_filing").where("filing_href like '%.txt'")
-    html = F.concat(F.lit('<div id="formName"><strong>Form 10-Q</strong></div><div class="infoHead">Period of Report</div> <div class="info">'), F.col("filing_date").cast("string"), F.lit('</div><p class="identInfo">Fiscal Year End: <strong>1231</strong><br></p><table summary="Document Format Files"><tr><td>submission<td><a href="'), F.col("filing_href"), F.lit('">txt</a></tr></table>'))
-    return filings.landing_facts(led.select("filing_id", html.alias("html"))).select("filing_id", "href", "fpe_date", "fye_date")
+@query("""select trim(cik) as cik, coalesce(nullif(trim(sic), ''), 'Unknown') as sic, coalesce(nullif(trim(sic_description), ''), 'Unknown') as sic_description, trim(company_name) as company_name
+  from cik where nullif(trim(cik), '') is not null and nullif(trim(company_name), '') is not null""")
+def company_info(spark, d):
+    part = lambda tag, c: F.concat(F.lit(f"<{tag}>"), _xml(F.coalesce(F.col(c), F.lit(""))), F.lit(f"</{tag}>"))
+    xml = F.concat(F.lit("<r><companyInfo>"), part("CIK", "cik"), part("SIC", "sic"), part("SICDescription", "sic_description"), part("name", "company_name"), F.lit("</companyInfo></r>"))
+    return filings.company_info(table(spark, d, "cik").select(xml.alias("xml")))
 
 
-@query("select doc_id, cast(0 as bigint) as block_no, trim(regexp_replace(text, '[<>&]', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)) as text from documents where regexp_matches(text, '^[ -~]*[A-Za-z][ -~]*$')")
-def page_text_blocks(spark, d):
-    docs = table(spark, d, "documents").where(F.col("text").rlike("^[ -~]*[A-Za-z][ -~]*$"))
-    html = F.concat(F.lit("<div><p>"), F.regexp_replace("text", "[<>&]", ""), F.lit("</p></div>"))
-    return grids.text_blocks(docs.select("doc_id", html.alias("html")), "doc_id").select("doc_id", F.col("block_no").cast("bigint").alias("block_no"), "text")
+@query("""select filing_id, filing_id % 4 as k, case when filing_id % 4 < 2 then filing_href end as href, case when filing_id % 4 = 2 then 'no submission link' when filing_id % 4 = 3 then 'more than one submission link' end as error,
+  case filing_id % 3 when 0 then 'a.xml' when 1 then 'b.xml' end as xbrl_href, filing_date as fpe_date,
+  cast(make_date(year(filing_date) + case when (case when day(filing_date) > 7 then month(filing_date) else month(filing_date) - 1 end) > 12 then 1 else 0 end, 12, 31) as date) as fye_date
+  from (select * replace (coalesce(filing_href, 'x') || '.txt' as filing_href) from prelim_filing)""")
+def landing_pages(spark, d):
+    """Pages with one, no or several links to the submission, beside links of
+    other documents, and XBRL links by description, by type or none."""
+    led = table(spark, d, "prelim_filing").withColumns({"k": F.col("filing_id") % 4, "to": F.concat(F.coalesce("filing_href", F.lit("x")), F.lit(".txt"))})
+    link = lambda c: F.concat(F.lit('<a href="'), c, F.lit('">file</a>'))
+    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    other = row(F.lit("1"), F.lit("cover"), link(F.lit("cover.txt")), F.lit("8-K"))
+    own = row(F.lit("&nbsp;"), F.lit("Complete submission text file"), link(F.col("to")), F.lit("&nbsp;"))
+    more = row(F.lit("2"), F.lit("another submission"), link(F.concat(F.lit("2"), F.col("to"))), F.lit(""))
+    rows = F.when(F.col("k") < 2, F.concat(other, own)).when(F.col("k") == 2, other).otherwise(F.concat(own, more))
+    n = F.col("filing_id") % 3
+    data = F.when(n == 0, row(F.lit("3"), F.lit("XBRL INSTANCE DOCUMENT"), link(F.lit("a.xml")), F.lit("EX-101.INS"))).when(n == 1, row(F.lit("3"), F.lit("x"), link(F.lit("b.xml")), F.lit("EX-101.INS"))).otherwise(row(F.lit("3"), F.lit("schema"), link(F.lit("c.xml")), F.lit("EX-101.SCH")))
+    html = F.concat(
+        F.lit('<div id="formName"><strong>Form 10-Q</strong></div><div class="infoHead">Period of Report</div> <div class="info">'), F.col("filing_date").cast("string"),
+        F.lit('</div><p class="identInfo">Fiscal Year End: <strong>1231</strong><br></p><table class="tableFile" summary="Document Format Files">'), rows, F.lit('</table><table summary="Data Files">'), data, F.lit("</table>"),
+    )
+    return filings.landing_facts(led.select("filing_id", "k", html.alias("html"))).select("filing_id", "k", "href", "error", "xbrl_href", "fpe_date", "fye_date")
 
 
 #: Whitespace that ``str.strip`` takes off.
@@ -577,7 +671,7 @@ _PARAGRAPH = r"\n[ \t\r]*\n"
     select doc_id, regexp_split_to_array(text, '{_PARAGRAPH}') as parts from documents where text is not null)),
   t as (select doc_id, i, trim(part, {_BLANKS}) as text from p)
   select doc_id, cast(row_number() over (partition by doc_id order by i) - 1 as bigint) as block_no, text from t where text <> ''""")
-def page_text_blocks_all(spark, d):
+def page_text_blocks(spark, d):
     """Every text as a page with an element per paragraph."""
     docs = spread(table(spark, d, "documents")).where("text is not null")
     esc = F.col("text")
@@ -587,15 +681,12 @@ def page_text_blocks_all(spark, d):
     return grids.text_blocks(docs.select("doc_id", html.alias("html")), "doc_id").select("doc_id", F.col("block_no").cast("bigint").alias("block_no"), "text")
 
 
-@query()
+@query("select distinct cik, filing_date, filing_type, filing_href from prelim_filing")
 def stream_incremental(spark, d):
     """Landed ledger rows loaded as a stream, twice: nothing is added twice."""
-    import uuid
-
-    from quarterloom.session import shared_folder
     from quarterloom.streaming.incremental import follow
 
-    base = f"{shared_folder(spark)}/quarterloom/stream-{uuid.uuid4().hex}"
+    base = _place(spark, "stream")
     led = table(spark, d, "prelim_filing").select(*store.LEDGER.fieldNames())
     led.write.parquet(f"{base}/landing")
     s = store.Store(spark, f"{base}/store")

@@ -8,15 +8,16 @@ ledger are appended once.  A replayed batch adds nothing.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import udtf
 
 from quarterloom.functions import periods
-from quarterloom.operators import extract, store
+from quarterloom.operators import extract, quality, store
 from quarterloom.operators.store import CORE, LEDGER, STATEMENT, Store
-from quarterloom.session import written
+from quarterloom.session import intermediates, written
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,11 @@ def load(target: Store, listed: DataFrame, submissions: DataFrame) -> Loaded:
     """Loads the pending filings of ``listed``.  ``submissions`` holds
     ``filing_href``, ``documents``, ``fye_date`` and ``report_period``.  A
     filing that fails or holds no item is noted as no statement."""
+    with intermediates():
+        return _load(target, listed, submissions)
+
+
+def _load(target: Store, listed: DataFrame, submissions: DataFrame) -> Loaded:
     target.create("ledger", LEDGER)
     target.create("statement", STATEMENT)
     todo = pending(listed.select(*CORE).distinct(), target.read("ledger"), target.read("statement"))
@@ -75,23 +81,32 @@ def discard(target: Store, cik: str, day: dt.date) -> None:
     target.replace("ledger", ledger)
 
 
-def overrides_view(facts: DataFrame, cik: str, day: dt.date | None = None, item: str | None = None) -> DataFrame:
-    """Best values of a company to be edited: the columns that may change."""
-    from quarterloom.operators.quality import choose_by_rank
-
+def overrides_view(facts: DataFrame, cik: str, day: dt.date | None = None, item: str | None = None, items: Sequence[str] = quality.ITEMS) -> DataFrame:
+    """Best values of a company to be edited, with the columns that may
+    change.  Where there are none for the day asked for, blank rows: one for
+    the item, or for each of ``items``."""
     rows = facts.where(F.col("cik") == cik)
     rows = rows if day is None else rows.where(F.col("filing_date") == F.lit(day))
     rows = rows if item is None else rows.where(F.col("item") == item)
-    return choose_by_rank(rows, tiebreak=("filing_href",)).select("filing_date", "item", *store.OVERRIDES)
+    best = quality.choose_by_rank(rows, tiebreak=("filing_href",)).select(*STATEMENT.fieldNames())
+    if day is None or not best.isEmpty():
+        return best
+    given = {"cik": F.lit(cik), "filing_date": F.lit(day), "filing_type": F.lit("8-K"), "filing_href": F.lit("Unknown"), "item": F.col("item")}
+    wanted = [item] if item is not None else list(items)
+    blank = facts.sparkSession.createDataFrame([(i,) for i in wanted], "item string")
+    return blank.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STATEMENT.fields])
 
 
 def apply_overrides(target: Store, cik: str, edited: DataFrame) -> DataFrame:
-    """Stores the changed rows of an edited view, marked as overridden."""
-    from quarterloom.operators.quality import choose_by_rank
-
+    """Stores the changed rows of an edited view, and its blank rows that
+    were filled in, marked as overridden."""
     facts = target.read("statement")
-    original = choose_by_rank(facts.where(F.col("cik") == cik), tiebreak=("filing_href",))
-    rows = written(store.changed(original, edited).drop("is_overridden"), "overrides")
+    original = quality.choose_by_rank(facts.where(F.col("cik") == cik), tiebreak=("filing_href",))
+    added = edited.alias("b").join(original.alias("a"), store._alike("a", "b", ("filing_date", "item")), "left_anti")
+    added = added.where(F.coalesce(*[F.col(c).cast("string") for c in store.OVERRIDES]).isNotNull())
+    rows = store.changed(original, edited)
+    rows = rows.unionByName(added, allowMissingColumns=True) if "filing_href" in edited.columns else rows
+    rows = written(rows.drop("is_overridden"), "overrides")
     new = store.override(facts, rows)
     target.replace("statement", new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATEMENT.fields]))
     return rows
@@ -103,6 +118,27 @@ def companies_to_load(companies: DataFrame, number: int | None = None) -> DataFr
     return out if number is None else out.limit(number)
 
 
+def load_companies(target: Store, companies: DataFrame, listed: DataFrame, submissions: DataFrame, number: int | None = None) -> int:
+    """Loads companies in descending order until ``number`` of them have
+    loaded any value, all of them without a number; returns how many have.
+    They are taken in batches of as many as are still wanted, so none is
+    loaded beyond that."""
+    held = lambda: target.read("statement").groupBy("cik").agg(F.count(F.lit(1)).alias("n"))
+    target.create("statement", STATEMENT)
+    rest, done = companies.where("cik is not null").select("cik").distinct(), 0
+    while number is None or done < number:
+        batch = written(companies_to_load(rest, None if number is None else number - done), "batch")
+        last = batch.agg(F.min("cik")).first()[0]
+        if last is None:
+            break
+        before = written(held(), "held")
+        load(target, listed.join(batch, "cik", "left_semi"), submissions)
+        grown = held().alias("a").join(before.alias("b"), "cik", "left").where(F.col("a.n") > F.coalesce("b.n", F.lit(0)))
+        done += grown.count()
+        rest = rest.where(F.col("cik") < last)
+    return done
+
+
 def report_periods(filings: DataFrame) -> DataFrame:
     """Adds ``report_period`` of a filing's own period and fiscal year end."""
     return filings.withColumn("report_period", periods.from_fpe_date(F.col("fye_date"), F.col("fpe_date")))

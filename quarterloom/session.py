@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +50,12 @@ _made: list[tuple[SparkSession, str]] = []
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share.
-    Only where it is unset (tests, one machine) a local one is made."""
+    Only where it is unset and the session is local (tests, one machine) a
+    local one is made; on a cluster it must be set."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         got = "file://" + tempfile.mkdtemp(prefix="quarterloom-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
@@ -73,8 +78,8 @@ def _clean() -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: read any number of
-    times, computed once, safe against the loss of executors.  Removed when
-    the process ends."""
+    times, computed once, safe against the loss of executors.  Removed at the
+    end of the enclosing :func:`intermediates`, else when the process ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quarterloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -82,6 +87,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Tables of :func:`written` made within are removed at the end, so the
+    results that read them must have been stored by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for spark, path in _made[before:]:
+            _delete(spark, path)
+        del _made[before:]
+
+
 _shipped: set[str] = set()
 
 

@@ -9,18 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from quarterloom.operators.store import LEDGER, Store, insert_if_absent, unvisited
+from quarterloom.operators.store import LEDGER, Store, absent
 
 
 def load_batch(store: Store, batch: DataFrame) -> None:
     """Adds the filings of a batch that the ledger does not know."""
-    names = LEDGER.fieldNames()
-    batch = batch.select(*names)
     store.create("ledger", LEDGER)
-    known = store.read("ledger")
-    new = insert_if_absent(known.limit(0), unvisited(batch, known))
-    fresh = insert_if_absent(known, new).exceptAll(known)
-    store.append("ledger", fresh)
+    store.append("ledger", absent(store.read("ledger"), batch.select(*LEDGER.fieldNames())))
 
 
 def follow(spark: SparkSession, landing: str, store: Store, checkpoint: str, once: bool = True) -> StreamingQuery:

@@ -22,7 +22,7 @@ def test_text_blocks_of_every_document(spark, tmp_path):
     for k, t in docs:
         parts = [p.strip() for p in re.split(r"\n[ \t\r]*\n", t or "")]
         want += [(k, i, p) for i, p in enumerate(filter(None, parts))]
-    got = sorted(tuple(r) for r in entry.queries()["page_text_blocks_all"](spark, str(tmp_path)).collect())
+    got = sorted(tuple(r) for r in entry.queries()["page_text_blocks"](spark, str(tmp_path)).collect())
     assert got == want
     assert len(want) == 9 and max(i for _, i, _ in want) == 2
 
@@ -32,7 +32,7 @@ def test_filings_of_a_range_have_no_cap(spark, tmp_path):
     rows = [(i, "1", day + dt.timedelta(days=i % 1096), "8-K") for i in range(2500)]
     rows += [(2500, "1", day - dt.timedelta(days=1), "8-K"), (2501, "1", dt.date(2013, 1, 1), "8-K"), (2502, None, day, "8-K/A"), (2503, "1", day, "10-Q"), (2504, "1", None, "8-K")]
     spark.createDataFrame(rows, "filing_id bigint, cik string, filing_date date, filing_type string").write.parquet(f"{tmp_path}/prelim_filing.parquet")
-    got = [(r.filing_date, r.filing_id) for r in entry.queries()["filings_range_all"](spark, str(tmp_path)).collect()]
+    got = [(r.filing_date, r.filing_id) for r in entry.queries()["filings_range"](spark, str(tmp_path)).collect()]
     assert got == sorted(got) and sorted(k for _, k in got) == [*range(2500), 2502]
 
 
