@@ -18,7 +18,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from quarterloom.joins import join_values
 from quarterloom.session import written
@@ -351,10 +351,8 @@ def _extension(al: pd.Series, bl: pd.Series, ar: pd.Series, br: pd.Series) -> pd
 
 
 def repeated(k: DataFrame) -> DataFrame:
-    """Rows of :func:`keys` whose window stands in two texts, with ``crowd``,
-    the number of rows that hold it."""
-    size = F.count(F.lit(1))
-    groups = k.groupBy("h", "g").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), size.alias("n"), size.alias("crowd")).where("a < b").drop("a", "b")
+    """Rows of :func:`keys` whose window stands in two texts."""
+    groups = k.groupBy("h", "g").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b").drop("a", "b")
     return join_values(k, written(groups, "window-groups"), ["h", "g"])
 
 
@@ -368,23 +366,25 @@ def exact_spans(rows: DataFrame) -> DataFrame:
     return out.withColumn("e", F.xxhash64(around))
 
 
-def representative_pairs(r: DataFrame) -> DataFrame:
+def representative_pairs(k: DataFrame) -> DataFrame:
     """``(doc_a, doc_b)``, ``doc_a < doc_b``, of different texts with a span in
-    common, from :func:`repeated`; each may come more than once.
+    common, from :func:`keys`; each may come more than once.
 
     Windows are compared in pairs, found at the indexed blocks of the lesser
     document, and extended letter by letter.  A crowded window, such as a
     phrase of many texts just shorter than the span, would bring together all
     of them: there the exact spans around it meet, and only true pairs do.
     """
-    few, many = r.where(F.col("crowd") <= CROWD), r.where(F.col("crowd") > CROWD)
+    crowds = written(k.groupBy("h", "g").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > CROWD).drop("crowd"), "crowds")
+    crowded = not crowds.isEmpty()
+    few = k.join(crowds, ["h", "g"], "left_anti") if crowded else k
     a = few.where("block").select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
     b = few.select("h", "g", F.col("doc").alias("doc_b"), F.col("left").alias("bl"), F.col("right").alias("br"))
     grown = a.join(b, ["h", "g"]).where("doc_a < doc_b").withColumn("e", _extension("al", "bl", "ar", "br")).where(F.col("e.before") + F.col("e.after") >= STEP)
     pairs = grown.select("doc_a", "doc_b")
-    if many.isEmpty():
+    if not crowded:
         return pairs
-    exact = exact_spans(many).select("h", "g", "e", "doc", "block").distinct()
+    exact = exact_spans(k.join(crowds, ["h", "g"], "left_semi")).select("h", "g", "e", "doc", "block").distinct()
     a, b = exact.where("block").select("h", "g", "e", F.col("doc").alias("doc_a")), exact.select("h", "g", "e", F.col("doc").alias("doc_b"))
     return pairs.unionByName(a.join(b, ["h", "g", "e"]).where("doc_a < doc_b").select("doc_a", "doc_b"))
 
@@ -394,7 +394,7 @@ def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame,
     texts = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), "text")
     texts = _without(texts, classes.where("doc <> rep").select("doc"), "left_anti")
     found = written(anchors(texts, span, block_limit), "found")
-    return classes, written(repeated(written(keys(texts, found, span), "keys")), "repeated")
+    return classes, written(keys(texts, found, span), "keys")
 
 
 def shared_classes(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -402,8 +402,8 @@ def shared_classes(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_L
     of at least ``span`` characters, and ``(doc_a, doc_b)``, the pairs of
     representatives of different classes that share a span.  Nothing grows
     with the square of a class."""
-    classes, r = _prepared(docs, span, block_limit)
-    return classes, written(representative_pairs(r).distinct(), "pairs")
+    classes, k = _prepared(docs, span, block_limit)
+    return classes, written(representative_pairs(k).distinct(), "pairs")
 
 
 def class_links(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
@@ -455,26 +455,30 @@ def _covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc": b["doc"], "shared": out})
 
 
-_WINDOW = ["h", "g", "left", "right"]
+_WINDOW = ["h", "g", "c"]
 
 
 def shared_stretches(r: DataFrame, span: int) -> DataFrame:
     """``(doc, lo, hi)``: stretches of a text that stand in another one, from
     :func:`repeated`, without pairing texts.
 
-    Rows of a window that are alike to both sides are put together first: in
-    two texts or more, all of it is shared.  Of the others each exact span is
-    shared that two texts hold.
+    Rows of a window that are alike to both sides, which ``c`` tells, are put
+    together first: in two texts or more, all of it is shared.  Of the others
+    each exact span is shared that two texts hold.
     """
-    around = written(r.groupBy(*_WINDOW).agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")), "around")
-    alike = around.where("a < b").select(*_WINDOW, F.array(F.struct(F.char_length("left").alias("before"), F.char_length("right").alias("after"))).alias("reach"), "n")
-    spans = exact_spans(around).select(*_WINDOW, "before", "e", "a", "b", "n")
-    shared = spans.groupBy("h", "g", "e").agg(F.min("a").alias("least"), F.max("b").alias("most"), F.count(F.lit(1)).alias("m")).where("least < most").select("h", "g", "e", "m")
-    lone = spans.where("a = b").join(shared.drop("m"), ["h", "g", "e"])
+    alike = F.xxhash64("left", "right").alias("c")
+    around = written(r.groupBy("h", "g", "left", "right").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).select("*", alike), "around")
+    whole = F.array(F.struct(F.char_length("left").alias("before"), F.char_length("right").alias("after")))
+    common = around.where("a < b").select(*_WINDOW, whole.alias("reach"), "n")
+    # windows with a lone row: its spans are looked for in the others
+    lone = around.where("a = b").select("h", "g").distinct()
+    spans = exact_spans(around.join(lone, ["h", "g"], "left_semi")).select(*_WINDOW, "before", "e", "a", "b", "n")
+    w = Window.partitionBy("h", "g", "e")
+    found = spans.withColumns({"least": F.min("a").over(w), "most": F.max("b").over(w)}).where("a = b and least < most")
     reach = F.collect_set(F.struct("before", (STEP - F.col("before")).alias("after")))
-    parts = lone.groupBy(*_WINDOW).agg(reach.alias("reach"), F.max("n").alias("n"))
-    every = written(alike.unionByName(parts), "reach")
-    at = join_values(r.select(*_WINDOW, "doc", "xs"), every, _WINDOW).select("doc", F.explode("xs").alias("x"), "reach").select("doc", "x", F.inline("reach"))
+    parts = found.groupBy(*_WINDOW).agg(reach.alias("reach"), F.max("n").alias("n"))
+    every = written(common.unionByName(parts), "reach")
+    at = join_values(r.select("h", "g", alike, "doc", "xs"), every, _WINDOW).select("doc", F.explode("xs").alias("x"), "reach").select("doc", "x", F.inline("reach"))
     return at.select("doc", (F.col("x") - F.col("before")).alias("lo"), (F.col("x") + span - STEP + F.col("after")).alias("hi")).where(F.col("hi") - F.col("lo") >= span)
 
 
@@ -482,8 +486,8 @@ def shared_characters(docs: DataFrame, span: int = SPAN, block_limit: int = BLOC
     """``(doc_id, chars, shared)``: for each text of at least ``span``
     characters how many of them also stand in another text, in stretches of
     at least ``span``.  A text with a copy is shared as a whole."""
-    classes, r = _prepared(docs, span, block_limit)
-    spans = shared_stretches(r, span).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    classes, k = _prepared(docs, span, block_limit)
+    spans = shared_stretches(written(repeated(k), "repeated"), span).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     rep = spans.mapInPandas(_covered, "doc bigint, shared bigint")
     # only a text without copies is asked for; it is its own representative
     out = classes.join(rep, "doc", "left")
