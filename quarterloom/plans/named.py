@@ -12,7 +12,7 @@ from quarterloom.functions import grammar, periods, text, titles
 from quarterloom.functions.companies import company_number
 from quarterloom.operators import extract, grids, quality, report, store
 from quarterloom.plans import pipeline
-from quarterloom.session import shared_folder, spread, table
+from quarterloom.session import shared_folder, spread, table, written
 from quarterloom.sources import filings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -695,6 +695,125 @@ def stream_incremental(spark, d):
     return s.read("ledger").select("cik", "filing_date", "filing_type", "filing_href")
 
 
+# --- the load as a whole -------------------------------------------------------------
+_PERIOD_END = "cast(case when q = 4 then make_date(cast(y - 1 as int), 12, 31) else last_day(make_date(cast(y as int), cast(q * 3 as int), 1)) end as date)"
+
+
+def _landed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Listed filings and their submissions, a filing of two statements a
+    quarter; every filing of a fifth company holds nothing."""
+    f = filings.parse_submissions(_sgml(_filed(spark, d)).select("submission", "y", "q", "raw").withColumnRenamed("submission", "filing_href"))
+    f = f.repartition(spark.sparkContext.defaultParallelism, "filing_href")
+    day = F.make_date(F.col("y") + F.when(F.col("q") == 4, 1).otherwise(0), F.when(F.col("q") == 4, 1).otherwise(F.col("q") * 3 + 1), F.lit(15))
+    listed = f.select("cik", day.alias("filing_date"), F.lit("8-K").alias("filing_type"), "filing_href")
+    fye = F.make_date(F.col("y"), F.lit(12), F.lit(31))
+    nothing = F.col("cik").try_cast("int") % 5 == 4
+    docs = F.when(nothing, F.array(F.lit("<p>nothing</p>"))).otherwise(F.col("documents"))
+    return listed, f.select("filing_href", docs.alias("documents"), fye.alias("fye_date"), F.concat("y", F.lit("Q"), "q").alias("report_period"))
+
+
+_ALL_ITEMS = _FILED + """, p as (select *, cik || '-' || y || '-' || q as filing_href, cast(y as varchar) || 'Q' || cast(q as varchar) as fiscal_period from f where cast(cik as int) % 5 <> 4),
+  i as (select *, 'interest income' as item, cast(income as double) * 1000 as item_value from p union all select *, 'provision for loan losses', cast(provision as double) * 1000 from p
+    union all select *, 'net income', cast(n as double) * -1000000 from p union all select *, 'book value per share', cast(n as double) + 0.25 from p)"""
+
+
+@query(f"{_ALL_ITEMS} select cik, filing_href, item, item_value, fiscal_period, {_PERIOD_END} as fpe_date, false as is_overridden from i")
+def load_statements(spark, d):
+    """Loaded into a store, twice: the second load adds nothing."""
+    target = store.Store(spark, _place(spark, "store"))
+    listed, submissions = _landed(spark, d)
+    for _ in (1, 2):
+        pipeline.load(target, listed, submissions)
+    return target.read("statement").select("cik", "filing_href", "item", F.col("item_value").cast("double").alias("item_value"), "fiscal_period", "fpe_date", "is_overridden")
+
+
+@query(_FILED + " select cik, cik || '-' || y || '-' || q as filing_href, cast(cik as int) % 5 <> 4 as is_prelim from f")
+def load_ledger(spark, d):
+    """The ledger of that load: filings without an item are marked."""
+    target = store.Store(spark, _place(spark, "store"))
+    pipeline.load(target, *_landed(spark, d))
+    return target.read("ledger").select("cik", "filing_href", "is_prelim")
+
+
+@query(f"{_ALL_ITEMS} select cik, count(*) as facts from i where cik in (select distinct cik from i order by cik desc limit 3) group by 1")
+def load_some_companies(spark, d):
+    """Stopped after three companies that loaded anything."""
+    target = store.Store(spark, _place(spark, "store"))
+    listed, submissions = _landed(spark, d)
+    listed = written(listed, "listed")
+    pipeline.load_companies(target, listed.select("cik"), listed, written(submissions, "submissions"), 3)
+    return target.read("statement").groupBy("cik").agg(F.count(F.lit(1)).alias("facts"))
+
+
+@query(f"select stmt_id from prelim_statement where not coalesce(cik = {_COMPANY} and filing_date between date '2011-12-31' and date '2014-12-31' and not coalesce(is_overridden, false), false)")
+def reload_store(spark, d):
+    """A company's range taken out of a store for its next load."""
+    target = store.Store(spark, _place(spark, "store"))
+    target.append("statement", _statements(spark, d))
+    pipeline.reload_between(target, _company(spark, d), dt.date(2012, 1, 1), dt.date(2014, 12, 31))
+    return target.read("statement").select("stmt_id")
+
+
+@query(f"select {_COMPANY} as cik, date '1999-01-01' as filing_date, '8-K' as filing_type, 'Unknown' as filing_href, unnest([{_ITEMS}]) as item, cast(null as double) as item_value")
+def override_blank(spark, d):
+    """A day without facts shows a blank row for each item."""
+    view = pipeline.overrides_view(_statements(spark, d), _company(spark, d), dt.date(1999, 1, 1))
+    return view.select("cik", "filing_date", "filing_type", "filing_href", "item", F.col("item_value").cast("double").alias("item_value"))
+
+
+@query(_FILED + """ select cik || '-' || y || '-' || q as submission, 'net income' as item, cast(n as double) * -1000000 as item_value, cast(y as varchar) || 'Q' || cast(q as varchar) as fiscal_period from f""")
+def table_function_items(spark, d):
+    """The SQL table function, kept to one item."""
+    pipeline.register(spark)
+    raw = _sgml(_filed(spark, d)).select("submission", "raw").repartition(spark.sparkContext.defaultParallelism, "submission")
+    view = f"landed_{uuid.uuid4().hex}"
+    filings.parse_submissions(raw).select("submission", "cik", F.explode("documents").alias("html")).createOrReplaceTempView(view)
+    return spark.sql(f"select l.submission, i.item, i.item_value, i.fiscal_period from {view} l, lateral statement_items(l.cik, l.html, array('net income')) i")
+
+
+@query(_FILED + """, p as (select cik || '-' || y || '-' || q as submission, *, cast(y as varchar) || 'Q' || cast(q as varchar) as fiscal_period from f)
+  select submission, 'interest income' as item, 0 as table_rank, cast(income as double) * 1e3 as item_value, fiscal_period, '(in thousands)' as src_units from p
+  union all select submission, 'total revenue', 0, cast(n as double) * 1e3, fiscal_period, '(in thousands)' from p
+  union all select submission, 'net income', 24, cast(n + 7 as double) * 1e3, fiscal_period, 'inferred: thousands' from p""")
+def extract_ranked(spark, d):
+    """Tables of several titles, columns of several periods, headers borrowed
+    by a continued table: the best title's latest quarter is taken, and what
+    only a lesser table tells comes from there."""
+    f = _filed(spark, d)
+    y, n = F.col("y"), lambda c: F.col(c).cast("string")
+    when = F.concat(F.element_at(F.create_map(*[F.lit(x) for kv in _MONTH_END.items() for x in kv]), F.col("q").cast("int")), F.lit(", "))
+    heads = F.concat(F.lit("<tr><td></td><td>Three months ended "), when, (y - 1).cast("string"), F.lit("</td><td>Nine months ended "), when, y.cast("string"), F.lit("</td><td>Three months ended "), when, y.cast("string"), F.lit("</td></tr>"))
+    row = lambda label, c: F.concat(F.lit(f"<tr><td>{label}</td><td>1</td><td>2</td><td>"), c, F.lit("</td></tr>"))
+    whole = lambda *rows: F.concat(F.lit("<table>"), *rows, row("Other items", F.lit("3")), F.lit("</table>"))
+    html = F.concat(
+        F.lit("<p>Earnings summary</p>"), whole(heads, row("Net income", (F.col("n") + 7).cast("string")), row("Total interest income", F.lit("5"))),
+        F.lit("<p>Consolidated statements of income</p><p>(in thousands)</p>"), whole(heads, row("Total interest income", n("income"))),
+        F.lit("<p>Consolidated statements of income, continued</p><p>(in thousands)</p>"), whole(row("Total revenues", n("n"))),
+    )
+    pages = f.select(F.concat("cik", F.lit("-"), n("y"), F.lit("-"), n("q")).alias("submission"), "cik", F.array(html).alias("documents"))
+    found = extract.extract(pages.repartition(spark.sparkContext.defaultParallelism, "submission"))
+    return extract.best_items(found).select("submission", "item", "table_rank", "item_value", "fiscal_period", "src_units")
+
+
+@query("""select stmt_id, cast(loaded_at as date) as loaded, case when stmt_id % 3 <> 0 then cast(item_value as double) end as item_value,
+  case when stmt_id % 2 = 0 and regexp_full_match(fiscal_period, '[0-9]{4}Q[1-4]') then """ + _TEXT(f"({_Q} - 1)") + """ when stmt_id % 2 = 1 then fiscal_period end as fiscal_period from prelim_statement""")
+def stored_form(spark, d):
+    """Days for timestamps, null for NaN; a quarter-to-date heading is the
+    quarter before the filing's own."""
+    s = _statements(spark, d)
+    value = F.when(F.col("stmt_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("item_value").cast("double"))
+    heading = F.when(F.col("stmt_id") % 2 == 0, F.concat(F.year("filing_date").cast("string"), F.lit("QTD"))).otherwise(F.col("fiscal_period"))
+    period = periods.resolve_quarter_to_date(heading, F.col("fiscal_period"))
+    return store.persistable(s.select("stmt_id", F.col("loaded_at").alias("loaded"), value.alias("item_value"), period.alias("fiscal_period")))
+
+
+@query(f"""with {_BEST.replace("from prelim_statement) where", "from prelim_statement where cik = " + _COMPANY + ") where")}, {_CHECKS_OF_BEST} select item, period, msg_type, message from ({_ALL})""")
+def company_messages(spark, d):
+    """Messages of one company's report."""
+    frames = report.quality_report(_statements(spark, d), table(spark, d, "cik"), _company(spark, d), quality.ITEMS)
+    return frames["messages"].select("item", "period", "msg_type", "message")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
