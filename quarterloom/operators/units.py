@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quarterloom.functions.companies import FULL_WIDTH, company_number
@@ -187,14 +189,20 @@ def by_posterior(rows: DataFrame, factors: tuple[float, ...], most: float = 1.0,
     bins = [(r[0] / 20.0, r[1]) for r in rows.where("q_gap is not null").groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.round(F.col("q_gap") * 20))).cast("int").alias("b")).count().collect()]
     pi, sd = fit_mixture(bins, factors, most=most)
     wide = F.lit(sd) if spread is None else F.sqrt(spread * spread + F.lit(sd * sd))
-    score = F.array(*[F.lit(math.log(w)) - F.lit(0.5) * F.pow((F.col("q_gap") + F.lit(math.log10(f))) / F.col("q_sd"), F.lit(2.0)) for w, f in zip(pi, factors)])
-    out = rows.withColumn("q_sd", wide).withColumn("q_score", score).withColumn("q_top", F.array_max("q_score"))
-    none = F.lit(FLOOR) * F.col("q_sd") * F.exp(-F.col("q_top"))
-    total = F.aggregate("q_score", F.lit(0.0), lambda t, s: t + F.exp(s - F.col("q_top"))) + none
-    guess = F.element_at(F.array(*map(F.lit, factors)), F.array_position("q_score", F.col("q_top")).cast("int"))
-    known = F.col("q_gap").isNotNull()
-    out = out.withColumns({"q_guess": F.when(known, guess), "q_posterior": F.when(known, F.lit(1.0) / total)})
-    return out.withColumn("q_uncertain", F.coalesce(F.col("q_posterior") < SURE, F.lit(True))).drop("q_sd", "q_score", "q_top")
+
+    offsets, logs, known = np.log10(np.array(factors)), np.log(np.array(pi)), np.array(factors)
+
+    @F.pandas_udf("guess double, posterior double")
+    def told(gap: pd.Series, spreads: pd.Series) -> pd.DataFrame:
+        g, w = gap.to_numpy(float)[:, None], spreads.to_numpy(float)[:, None]
+        score = logs - 0.5 * ((g + offsets) / w) ** 2
+        best = np.where(np.isnan(score), -np.inf, score).argmax(axis=1)
+        top = score[np.arange(len(score)), best][:, None]
+        total = np.exp(score - top).sum(axis=1) + FLOOR * w[:, 0] * np.exp(-top[:, 0])
+        return pd.DataFrame({"guess": np.where(np.isnan(g[:, 0]), np.nan, known[best]), "posterior": 1.0 / total})
+
+    out = rows.withColumn("q_told", told("q_gap", wide)).select("*", F.col("q_told.guess").alias("q_guess"), F.col("q_told.posterior").alias("q_posterior")).drop("q_told")
+    return out.withColumn("q_uncertain", F.coalesce(F.col("q_posterior") < SURE, F.lit(True)))
 
 
 def assigned(p: DataFrame, factors: tuple[float, ...] = FACTORS) -> DataFrame:
@@ -233,7 +241,9 @@ def value_scalings(df: DataFrame, refs: DataFrame, key: str = "stmt_id") -> Data
     stored value: ``item_value`` has none of its own, so the mixture assigns
     one.  Its level is the amount in dollars that the row's text tells;
     ``q_guess`` is the factor that makes the value that amount."""
-    c = written(converted(df, refs, key).where("item_value is not null and q_amount is not null").select(key, F.col("item_value").cast("double").alias("v"), "q_amount"), "values")
+    c = written(converted(df, refs, key).select(key, F.col("item_value").cast("double").alias("v"), "q_amount"), "values")
+    # a filter before would parse again
+    c = c.where("v is not null and q_amount is not null")
     size = lambda x: F.log10(F.nullif(F.abs(x), F.lit(0.0)))
     return by_posterior(c.withColumn("q_gap", size("v") - size("q_amount")), SCALINGS, most=CLOSE)
 
