@@ -18,7 +18,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quarterloom.joins import join_values
 from quarterloom.session import written
@@ -262,14 +262,18 @@ def copy_classes(docs: DataFrame, span: int = SPAN) -> DataFrame:
     points; ``rep`` is the least id with that very text."""
     own = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), F.unhex(F.sha2("text", 256)).alias("digest"), F.char_length("text").alias("chars"))
     own = written(own.distinct(), "digests")
-    rep = written(own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.count(F.lit(1)).alias("n")), "digest-classes")
-    return join_values(own, rep, ["digest"]).select("doc", "rep", "chars", "copies")
+    several = own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    several = written(several.withColumn("n", F.col("copies")), "copied")
+    few = several.limit(ID_LIMIT + 1).count() <= ID_LIMIT
+    keys = several.select("digest")
+    alone = own.join(F.broadcast(keys) if few else keys, "digest", "left_anti").select("doc", F.col("doc").alias("rep"), "chars", F.lit(1).cast("bigint").alias("copies"))
+    return join_values(own, several, ["digest"]).select("doc", "rep", "chars", "copies").unionByName(alone)
 
 
-def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> tuple[DataFrame, int]:
     """``(h, doc, pos, block)`` of the anchors that stand in two texts: blocks
     that a later document holds too, and windows like a block of an earlier
-    one."""
+    one; and the most rows that share a hash."""
     w = span // 2
     blocks = written(indexed_blocks(texts, w), "blocks")
     n = blocks.count()
@@ -281,7 +285,9 @@ def anchors(texts: DataFrame, span: int, block_limit: int = BLOCK_LIMIT) -> Data
     # a pair is found at a block of its lesser document: what comes before
     # the first indexed one or is indexed last of all brings none together
     groups = every.groupBy("h").agg(F.min(F.when(F.col("block"), F.col("doc"))).alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b")
-    return join_values(every, written(groups, "anchor-groups"), ["h"]).where("(block and doc < b) or doc > a").select("h", "doc", "pos", "block")
+    groups = written(groups, "anchor-groups")
+    found = join_values(every, groups, ["h"]).where("(block and doc < b) or doc > a").select("h", "doc", "pos", "block")
+    return written(found, "found"), groups.agg(F.max("n")).first()[0] or 0
 
 
 def _hashed(text: str, x: np.ndarray, v: int) -> Iterator[tuple[int, int, int]]:
@@ -350,23 +356,23 @@ def _extension(al: pd.Series, bl: pd.Series, ar: pd.Series, br: pd.Series) -> pd
     return pd.DataFrame({"before": [common(x[::-1], y[::-1]) for x, y in zip(al, bl)], "after": [common(x, y) for x, y in zip(ar, br)]}, dtype="int32")
 
 
-def repeated(k: DataFrame) -> DataFrame:
-    """Rows of :func:`keys` whose window stands in two texts."""
-    groups = k.groupBy("h", "g").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).where("a < b").drop("a", "b")
-    return join_values(k, written(groups, "window-groups"), ["h", "g"])
+def _befores() -> Column:
+    """How many letters before a window the spans around it may begin."""
+    return F.filter(F.sequence(F.lit(0), F.lit(STEP)), lambda n: (n <= F.char_length("left")) & (STEP - n <= F.char_length("right")))
+
+
+def _told_by(before: str) -> Column:
+    """Tells apart the spans around windows with the same hashes."""
+    return F.xxhash64(F.struct(before, F.expr(f"right(`left`, {before})"), F.expr(f"left(`right`, {STEP} - {before})")))
 
 
 def exact_spans(rows: DataFrame) -> DataFrame:
     """A row for each span of ``span`` letters around the window of a row:
-    ``before`` letters of it stand before the window; ``e`` tells apart the
-    letters around windows with the same hashes."""
-    befores = F.filter(F.sequence(F.lit(0), F.lit(STEP)), lambda n: (n <= F.char_length("left")) & (STEP - n <= F.char_length("right")))
-    out = rows.withColumn("before", F.explode(befores))
-    around = F.struct("before", F.expr("right(`left`, before)"), F.expr(f"left(`right`, {STEP} - before)"))
-    return out.withColumn("e", F.xxhash64(around))
+    ``before`` letters of it stand before the window, ``e`` tells it."""
+    return rows.withColumn("before", F.explode(_befores())).withColumn("e", _told_by("before"))
 
 
-def representative_pairs(k: DataFrame) -> DataFrame:
+def representative_pairs(k: DataFrame, crowded: bool = True) -> DataFrame:
     """``(doc_a, doc_b)``, ``doc_a < doc_b``, of different texts with a span in
     common, from :func:`keys`; each may come more than once.
 
@@ -375,9 +381,11 @@ def representative_pairs(k: DataFrame) -> DataFrame:
     phrase of many texts just shorter than the span, would bring together all
     of them: there the exact spans around it meet, and only true pairs do.
     """
-    crowds = written(k.groupBy("h", "g").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > CROWD).drop("crowd"), "crowds")
-    crowded = not crowds.isEmpty()
-    few = k.join(crowds, ["h", "g"], "left_anti") if crowded else k
+    few = k
+    if crowded:
+        crowds = written(k.groupBy("h", "g").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > CROWD).drop("crowd"), "crowds")
+        crowded = not crowds.isEmpty()
+        few = k.join(crowds, ["h", "g"], "left_anti") if crowded else k
     a = few.where("block").select("h", "g", F.col("doc").alias("doc_a"), F.col("left").alias("al"), F.col("right").alias("ar"))
     b = few.select("h", "g", F.col("doc").alias("doc_b"), F.col("left").alias("bl"), F.col("right").alias("br"))
     grown = a.join(b, ["h", "g"]).where("doc_a < doc_b").withColumn("e", _extension("al", "bl", "ar", "br")).where(F.col("e.before") + F.col("e.after") >= STEP)
@@ -389,12 +397,16 @@ def representative_pairs(k: DataFrame) -> DataFrame:
     return pairs.unionByName(a.join(b, ["h", "g", "e"]).where("doc_a < doc_b").select("doc_a", "doc_b"))
 
 
-def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame, DataFrame]:
+def _prepared(docs: DataFrame, span: int, block_limit: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Classes of copies, windows around anchors, and whether any of these may
+    be crowded."""
     classes = written(copy_classes(docs, span), "classes")
     texts = docs.where((F.char_length("text") >= span) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), "text")
     texts = _without(texts, classes.where("doc <> rep").select("doc"), "left_anti")
-    found = written(anchors(texts, span, block_limit), "found")
-    return classes, written(keys(texts, found, span), "keys")
+    found, most = anchors(texts, span, block_limit)
+    # the rows of a window are anchors at one of so many places in it
+    places = (span - STEP - span // 2) // STEP + 1
+    return classes, written(keys(texts, found, span), "keys"), most * places > CROWD
 
 
 def shared_classes(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -402,8 +414,8 @@ def shared_classes(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_L
     of at least ``span`` characters, and ``(doc_a, doc_b)``, the pairs of
     representatives of different classes that share a span.  Nothing grows
     with the square of a class."""
-    classes, k = _prepared(docs, span, block_limit)
-    return classes, written(representative_pairs(k).distinct(), "pairs")
+    classes, k, crowded = _prepared(docs, span, block_limit)
+    return classes, written(representative_pairs(k, crowded).distinct(), "pairs")
 
 
 def class_links(docs: DataFrame, span: int = SPAN, block_limit: int = BLOCK_LIMIT) -> DataFrame:
@@ -455,30 +467,33 @@ def _covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc": b["doc"], "shared": out})
 
 
-_WINDOW = ["h", "g", "c"]
-
-
-def shared_stretches(r: DataFrame, span: int) -> DataFrame:
+def shared_stretches(k: DataFrame, span: int) -> DataFrame:
     """``(doc, lo, hi)``: stretches of a text that stand in another one, from
-    :func:`repeated`, without pairing texts.
+    :func:`keys`, without pairing texts.
 
     Rows of a window that are alike to both sides, which ``c`` tells, are put
-    together first: in two texts or more, all of it is shared.  Of the others
-    each exact span is shared that two texts hold.
+    together first: in two texts or more, all of it is shared.  Of a window
+    that has a lone row too each exact span is shared that two texts hold.
     """
-    alike = F.xxhash64("left", "right").alias("c")
-    around = written(r.groupBy("h", "g", "left", "right").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).select("*", alike), "around")
-    whole = F.array(F.struct(F.char_length("left").alias("before"), F.char_length("right").alias("after")))
-    common = around.where("a < b").select(*_WINDOW, whole.alias("reach"), "n")
-    # windows with a lone row: its spans are looked for in the others
-    lone = around.where("a = b").select("h", "g").distinct()
-    spans = exact_spans(around.join(lone, ["h", "g"], "left_semi")).select(*_WINDOW, "before", "e", "a", "b", "n")
+    window, alike = ["h", "g", "c"], F.xxhash64("left", "right").alias("c")
+    ends = (F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n"))
+    groups = written(k.groupBy("h", "g").agg(*ends).where("a < b").select("h", "g", "n"), "window-groups")
+    around = join_values(k.select("h", "g", "doc", "left", "right"), groups, ["h", "g"]).groupBy("h", "g", "left", "right").agg(*ends)
+    around = around.withColumn("some_lone", F.max(F.col("a") == F.col("b")).over(Window.partitionBy("h", "g")))
+    # -1 stands for the whole of what is alike
+    none = F.array().cast("array<int>")
+    parts = F.concat(F.when(F.col("a") < F.col("b"), F.array(F.lit(-1))).otherwise(none), F.when(F.col("some_lone"), _befores()).otherwise(none))
+    spans = around.select("h", "g", "left", "right", "a", "b", "n", F.explode(parts).alias("before"))
+    whole = F.col("before") < 0
+    reach = F.struct(
+        F.when(whole, F.char_length("left")).otherwise(F.col("before")).alias("before"),
+        F.when(whole, F.char_length("right")).otherwise(STEP - F.col("before")).alias("after"),
+    )
+    spans = spans.select("h", "g", alike, "a", "b", "n", whole.alias("whole"), reach.alias("reach"), F.when(whole, F.xxhash64(alike, F.lit(0))).otherwise(_told_by("before")).alias("e"))
     w = Window.partitionBy("h", "g", "e")
-    found = spans.withColumns({"least": F.min("a").over(w), "most": F.max("b").over(w)}).where("a = b and least < most")
-    reach = F.collect_set(F.struct("before", (STEP - F.col("before")).alias("after")))
-    parts = found.groupBy(*_WINDOW).agg(reach.alias("reach"), F.max("n").alias("n"))
-    every = written(common.unionByName(parts), "reach")
-    at = join_values(r.select("h", "g", alike, "doc", "xs"), every, _WINDOW).select("doc", F.explode("xs").alias("x"), "reach").select("doc", "x", F.inline("reach"))
+    found = spans.withColumns({"least": F.min("a").over(w), "most": F.max("b").over(w)}).where("whole or (a = b and least < most)")
+    every = written(found.groupBy(*window).agg(F.collect_set("reach").alias("reach"), F.max("n").alias("n")), "reach")
+    at = join_values(k.select("h", "g", alike, "doc", "xs"), every, window).select("doc", F.explode("xs").alias("x"), "reach").select("doc", "x", F.inline("reach"))
     return at.select("doc", (F.col("x") - F.col("before")).alias("lo"), (F.col("x") + span - STEP + F.col("after")).alias("hi")).where(F.col("hi") - F.col("lo") >= span)
 
 
@@ -486,8 +501,8 @@ def shared_characters(docs: DataFrame, span: int = SPAN, block_limit: int = BLOC
     """``(doc_id, chars, shared)``: for each text of at least ``span``
     characters how many of them also stand in another text, in stretches of
     at least ``span``.  A text with a copy is shared as a whole."""
-    classes, k = _prepared(docs, span, block_limit)
-    spans = shared_stretches(written(repeated(k), "repeated"), span).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    classes, k, _ = _prepared(docs, span, block_limit)
+    spans = shared_stretches(k, span).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     rep = spans.mapInPandas(_covered, "doc bigint, shared bigint")
     # only a text without copies is asked for; it is its own representative
     out = classes.join(rep, "doc", "left")
