@@ -14,7 +14,10 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from quarterloom.joins import join_values
+from quarterloom.session import written
 
 # Letters of other scripts that look like a Latin letter.
 LOOKALIKES = {
@@ -104,18 +107,23 @@ def plain_form(text: str | None) -> str | None:
     return unicodedata.normalize("NFC", "".join(out) + t[at:])
 
 
-def _map_values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield pd.DataFrame({"value": b["value"], "mapped": [plain_form(v) for v in b["value"]]})
+def canonical_values(values: DataFrame) -> DataFrame:
+    """``value`` -> ``canonical``, besides the other columns, for a frame of
+    distinct non-null values; each is mapped once.
 
+    UNICODE: accents and case count, canonical equivalents and ignorable
+    characters do not; the class is formed after mapping.
+    """
+    rest = [c for c in values.columns if c != "value"]
+    kinds = dict(values.dtypes)
 
-def canonical_values(values: DataFrame) -> DataFrame:
-    """``value`` -> ``canonical`` for a frame of distinct non-null values."""
-    mapped = values.mapInPandas(_map_values, "value string, mapped string")
-    # UNICODE: accents and case count, canonical equivalents and ignorable
-    # characters do not; the class is formed after mapping.
-    classes = mapped.groupBy(F.expr("collate(mapped, 'UNICODE')").alias("cls")).agg(F.min("mapped").alias("canonical"))
-    return mapped.join(classes, F.expr("collate(mapped, 'UNICODE')") == F.col("cls")).select("value", "canonical")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(mapped=[plain_form(v) for v in b["value"]])[["value", "mapped", *rest]]
+
+    mapped = values.mapInPandas(run, ", ".join(["value string", "mapped string", *[f"`{c}` {kinds[c]}" for c in rest]]))
+    member = F.min("mapped").over(Window.partitionBy(F.expr("collate(mapped, 'UNICODE')")))
+    return mapped.select("value", member.alias("canonical"), *rest)
 
 
 def plain_cells(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -136,13 +144,11 @@ def odd_cells(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
 
 
 def _odd_cells(odd: DataFrame) -> DataFrame:
-    """One spelling may fill a third of all cells: the join back is salted."""
-    salts = 16
-    canon = canonical_values(odd.select("value").distinct())
-    canon = canon.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = odd.withColumn("salt", F.pmod(F.xxhash64(F.col(odd.columns[0])), F.lit(salts)).cast("int"))
-    joined = salted.join(canon, ["value", "salt"])
-    return joined.select(odd.columns[0], "field", "value", F.col("canonical").alias("plain"))
+    """One spelling may fill a third of all cells: hot ones are joined where
+    they lie."""
+    values = odd.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    canon = written(canonical_values(values), "plain-forms")
+    return join_values(odd, canon, ["value"]).select(odd.columns[0], "field", "value", F.col("canonical").alias("plain"))
 
 
 def lookalike_cells(df: DataFrame, key: str = "stmt_id", fields: Sequence[str] = ("src_row", "src_table", "src_column")) -> DataFrame:
