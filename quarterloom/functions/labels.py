@@ -26,6 +26,7 @@ class Item:
 
 
 def _items() -> tuple[Item, ...]:
+    # Names of the items, words of their labels, and sizes.
     profit, basis, taxed = "income earnings profit loss", "gaap non", "fte taxable equivalent gaap non"
     sector = "direct finance loan and"
     back = "reversal recovery recapture reduction benefit credit negative"

@@ -27,6 +27,7 @@ def title(*need: str, fill: str = "", place: str = "start", only: str = "", neve
 def _ranked() -> tuple[Title, ...]:
     """Best first.  Whole statements come before summaries, summaries before
     single figures; what stands at the start before what stands at the end."""
+    # Words of titles, and companies with titles of their own.
     statement, report = "statement statements", "statement statements report reports"
     figures, data = "results metrics highlight highlights summary information data", "highlight highlights information results data"
     outcome, income, periodic = "income earnings loss operations", "income earnings", "quarterly condensed comparative"
