@@ -67,7 +67,7 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys: tuple[str, ...] =
     return table.unionByName(absent(table, rows, keys))
 
 
-def delete_for_reload(facts: DataFrame, cik: str, start: dt.date, end: dt.date | None = None) -> DataFrame:
+def delete_for_reload(facts: DataFrame, cik: str | int, start: dt.date, end: dt.date | None = None) -> DataFrame:
     """Without the company's rows of the range; overridden rows stay."""
     gone = (F.col("cik") == cik) & F.col("filing_date").between(start, end or END) & ~F.coalesce("is_overridden", F.lit(False))
     return facts.where(~F.coalesce(gone, F.lit(False)))
@@ -88,7 +88,7 @@ def changed(original: DataFrame, edited: DataFrame, keys: tuple[str, ...] = ("fi
     return j.where(differs).select(*[F.col(f"new_{c}").alias(c) if c in OVERRIDES else F.col(c) for c in original.columns])
 
 
-def discard(facts: DataFrame, ledger: DataFrame, cik: str, day: dt.date) -> tuple[DataFrame, DataFrame]:
+def discard(facts: DataFrame, ledger: DataFrame, cik: str | int, day: dt.date) -> tuple[DataFrame, DataFrame]:
     """A filing day that holds no statement after all: its facts go, its
     ledger rows are marked."""
     hit = F.coalesce((F.col("cik") == cik) & (F.col("filing_date") == F.lit(day)), F.lit(False))

@@ -46,9 +46,11 @@ def _best(spark: SparkSession, d: str, keep: tuple[str, ...] = quality.CHECKED)
 _ITEMS = ", ".join(f"'{i}'" for i in quality.ITEMS)
 #: The company number a text denotes.
 NUMBER = "try_cast(nullif(regexp_replace(regexp_replace(translate(cik, '０１２３４５６７８９', '0123456789'), '\\.0*\\s*$', ''), '[^0-9]', '', 'g'), '') as bigint)"
+#: The tables with company numbers.
+_BY_NUMBER = {t: f"(select * replace ({NUMBER} as cik) from {t})" for t in ("prelim_statement", "prelim_filing", "cik")}
 _BEST = f"""best as (select * exclude (rn) from (
   select *, row_number() over (partition by cik, filing_date, item order by table_rank nulls last, item_rank nulls last, filing_href, stmt_id) as rn
-  from (select * replace ({NUMBER} as cik) from prelim_statement) where item_value is not null) where rn = 1)"""
+  from {_BY_NUMBER["prelim_statement"]} where item_value is not null) where rn = 1)"""
 _Q = "(cast(substr(fiscal_period, 1, 4) as int) * 4 + cast(substr(fiscal_period, 6, 1) as int) - 1)"
 _TEXT = lambda q: f"(cast({q} // 4 as varchar) || 'Q' || cast({q} % 4 + 1 as varchar))"
 
@@ -227,9 +229,9 @@ def loaded_semi(spark, d):
     return led.alias("a").join(keys.alias("b"), store._alike("a", "b", store.CORE), "left_semi").select("filing_id")
 
 
-@query("select c.cik, c.company_name from cik c where exists (select 1 from prelim_statement s where s.cik = c.cik)")
+@query(f"select c.cik, c.company_name from {_BY_NUMBER['cik']} c where exists (select 1 from {_BY_NUMBER['prelim_statement']} s where s.cik = c.cik)")
 def exists_companies(spark, d):
-    return table(spark, d, "cik").join(_statements(spark, d).select("cik").distinct(), "cik", "left_semi").select("cik", "company_name")
+    return _numbered(table(spark, d, "cik")).join(_numbered(_statements(spark, d).select("cik").distinct()).distinct(), "cik", "left_semi").select("cik", "company_name")
 
 
 _DAY = dt.date(2015, 6, 30)
@@ -263,23 +265,35 @@ def _company(spark: SparkSession, d: str) -> str:
     return _statements(spark, d).where(F.col("cik").rlike("^[0-9]{10}$")).agg(F.min("cik")).first()[0]
 
 
-@query(f"""select stmt_id from prelim_statement where not coalesce(cik = {_COMPANY} and filing_date between date '2010-01-01' and date '2100-01-01' and not coalesce(is_overridden, false), false)""")
+_NUMBERED, _LEDGER = _BY_NUMBER["prelim_statement"], _BY_NUMBER["prelim_filing"]
+#: The company of the most statements, whatever their spelling of it.
+_LARGEST = f"(select cik from {_NUMBERED} where cik is not null group by 1 order by count(*) desc, cik limit 1)"
+
+
+def _largest(facts: DataFrame) -> int:
+    return facts.where("cik is not null").groupBy("cik").count().orderBy(F.desc("count"), "cik").first()[0]
+
+
+@query(f"""select stmt_id from {_NUMBERED} where not coalesce(cik = {_LARGEST} and filing_date between date '2010-01-01' and date '2100-01-01' and not coalesce(is_overridden, false), false)""")
 def reload_delete(spark, d):
-    return store.delete_for_reload(_statements(spark, d), _company(spark, d), dt.date(2010, 1, 1)).select("stmt_id")
+    facts = _numbered(_statements(spark, d))
+    return store.delete_for_reload(facts, _largest(facts), dt.date(2010, 1, 1)).select("stmt_id")
 
 
-@query(f"""select filing_id, case when cik = {_COMPANY} and filing_date = (select min(filing_date) from prelim_filing where cik = {_COMPANY}) then false else is_prelim end as is_prelim from prelim_filing""")
+@query(f"""select filing_id, case when cik = {_LARGEST} and filing_date = (select min(filing_date) from {_LEDGER} where cik = {_LARGEST}) then false else is_prelim end as is_prelim from {_LEDGER}""")
 def discard(spark, d):
-    led, c = table(spark, d, "prelim_filing"), _company(spark, d)
+    facts, led = _numbered(_statements(spark, d)), _numbered(table(spark, d, "prelim_filing"))
+    c = _largest(facts)
     day = led.where(F.col("cik") == c).agg(F.min("filing_date")).first()[0]
-    return store.discard(_statements(spark, d), led, c, day)[1].select("filing_id", "is_prelim")
+    return store.discard(facts, led, c, day)[1].select("filing_id", "is_prelim")
 
 
-@query(f"""select stmt_id from prelim_statement where not coalesce(cik = {_COMPANY} and filing_date = (select min(filing_date) from prelim_statement where cik = {_COMPANY}), false)""")
+@query(f"""select stmt_id from {_NUMBERED} where not coalesce(cik = {_LARGEST} and filing_date = (select min(filing_date) from {_NUMBERED} where cik = {_LARGEST}), false)""")
 def discard_facts(spark, d):
-    facts, c = _statements(spark, d), _company(spark, d)
+    facts = _numbered(_statements(spark, d))
+    c = _largest(facts)
     day = facts.where(F.col("cik") == c).agg(F.min("filing_date")).first()[0]
-    return store.discard(facts, table(spark, d, "prelim_filing"), c, day)[0].select("stmt_id")
+    return store.discard(facts, _numbered(table(spark, d, "prelim_filing")), c, day)[0].select("stmt_id")
 
 
 @query(f"""select cik, filing_date, filing_type, filing_href from prelim_filing
@@ -289,9 +303,9 @@ def insert_if_absent(spark, d):
     return store.insert_if_absent(led, _statements(spark, d).select(*store.CORE))
 
 
-@query("select cik, coalesce(max(filing_date), date '2002-06-01') as since from prelim_statement group by 1")
+@query(f"select cik, coalesce(max(filing_date), date '2002-06-01') as since from {_NUMBERED} group by 1")
 def high_water_mark(spark, d):
-    return store.high_water_mark(_statements(spark, d))
+    return store.high_water_mark(_numbered(_statements(spark, d)))
 
 
 @query("select filing_id, cik, filing_date from prelim_filing where filing_date between date '2010-01-01' and date '2012-12-31' and filing_type like '8-%' order by filing_date, filing_id")
