@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quarterloom.functions.companies import company_number
+from quarterloom.functions.companies import company_digits, company_number
 
 #: Days per company in the key space; day 2**19 is 1970-01-01.
 BITS = 20
@@ -66,8 +66,8 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def references(df: DataFrame, name: str, row_id: str, cik: str = "cik", at: str = "filing_date") -> DataFrame:
-    """``(tbl, row_id, company, at, k0, k1)``; ``k0 = k1`` is the reference's
-    key.  Without a date any day in force will do: ``k0..k1`` spans them."""
+    """``(tbl, row_id, company, at, k0, k1, digits)``; ``k0 = k1`` is the
+    reference's key, ``digits`` those of a number too long for one.  Without a date any day in force will do: ``k0..k1`` spans them."""
     n = company_number(F.col(cik))
     base = n * (1 << BITS)
     d = day(F.col(at))
@@ -78,6 +78,7 @@ def references(df: DataFrame, name: str, row_id: str, cik: str = "cik", at: str
         F.col(at).cast("date").alias("at"),
         (base + F.coalesce(d, F.lit(0))).alias("k0"),
         (base + F.coalesce(d, F.lit(LAST))).alias("k1"),
+        F.when(n < 0, company_digits(F.col(cik))).alias("digits"),
     ).where(F.col("company").isNotNull())
 
 
@@ -105,6 +106,20 @@ def orphans(refs: DataFrame, runs: DataFrame, run_limit: int = RUN_LIMIT) -> Dat
     return refs.where(missing("k0", "k1")).select("tbl", "row_id", "at")
 
 
+def _long_parents(parents: DataFrame, key: str, since: str, until: str) -> DataFrame:
+    """Days in force of the companies whose numbers only have a stand-in."""
+    p = parents.where(company_number(F.col(key)) < 0)
+    return p.select(company_digits(F.col(key)).alias("own"), F.col(since).cast("date").alias("a"), F.col(until).cast("date").alias("r")).distinct()
+
+
+def _long_orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """References with a stand-in, compared by all of their digits."""
+    day = F.col("at")
+    holds = (F.col("digits") == F.col("own")) & (day.isNull() | F.col("a").isNull() | (F.col("a") <= day)) & (day.isNull() | F.col("r").isNull() | (day < F.col("r")))
+    rest = F.col("a").isNull() | F.col("r").isNull() | (F.col("a") < F.col("r"))
+    return refs.where("company < 0").join(parents.where(rest), holds, "left_anti").select("tbl", "row_id", "at")
+
+
 def _orphans_by_company(refs: DataFrame, runs: DataFrame) -> DataFrame:
     """As-of by window over the distinct keys of each company, of which there
     are no more than days, however many rows a company holds."""
@@ -131,4 +146,7 @@ def find_orphans(parents: DataFrame, tables: Sequence[tuple[DataFrame, str, str]
     for df, name, row_id in tables:
         one = references(df, name, row_id)
         out = one if out is None else out.unionByName(one)
-    return orphans(out, runs, run_limit)
+    if runs.where("company < 0").isEmpty():  # no stand-in can be met by another's
+        return orphans(out, runs, run_limit)
+    exact = _long_orphans(out, _long_parents(parents, "cik", "added_on", "removed_on"))
+    return orphans(out.where("company >= 0"), runs, run_limit).unionByName(exact)

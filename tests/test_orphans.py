@@ -60,3 +60,18 @@ def test_against_brute_force(spark):
     c = [(i, str(r.randint(1, 10)), day(), "c") for i in range(400)]
     want = [i for i, k, d, _ in c if not any(a == k and (s is None or s <= d) and (e is None or d < e) for a, s, e, _ in p)]
     assert found(spark, p, c) == want == found(spark, p, c, run_limit=1)
+
+
+def test_long_numbers_are_compared_by_all_digits(spark, monkeypatch):
+    """Two long numbers may share a stand-in; here all of them do."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(orphans, "company_number", lambda c: F.when(F.length(c) > 12, F.lit(-5).cast("bigint")).otherwise(c.try_cast("bigint")))
+    d = dt.date
+    a, b = "12345678901234567890", "99999999999999"
+    parents = spark.createDataFrame([(a, None, d(2020, 1, 1)), ("7", None, None)], "cik string, added_on date, removed_on date")
+    rows = [(1, a, d(2019, 1, 1)), (2, a, d(2020, 1, 1)), (3, b, d(2019, 1, 1)), (4, "7", d(2019, 1, 1)), (5, "8", None), (6, "000" + a, None), (7, b, None)]
+    refs = spark.createDataFrame(rows, "id bigint, cik string, filing_date date")
+    assert sorted(r.row_id for r in orphans.find_orphans(parents, [(refs, "t", "id")]).collect()) == [2, 3, 5, 7]
