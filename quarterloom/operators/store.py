@@ -60,7 +60,8 @@ def absent(table: DataFrame, rows: DataFrame, keys: tuple[str, ...] = CORE) -> D
     table's side is thinned to the batch's keys before anything moves, if the
     optimizer sees that the batch is small."""
     new = rows.dropDuplicates(list(keys))
-    return new.alias("a").join(table.select(*keys).alias("b"), _alike("a", "b", keys), "left_anti")
+    held = table.select(*keys).alias("a").join(rows.select(*keys).alias("b"), _alike("a", "b", keys), "left_semi")
+    return new.alias("a").join(held.alias("b"), _alike("a", "b", keys), "left_anti")
 
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys: tuple[str, ...] = CORE) -> DataFrame:
