@@ -410,10 +410,16 @@ _TITLE_KINDS = (
 _TITLE_RANKS = "case " + " ".join(f"when w similar to '{pattern}' then {rank}" for rank, pattern in _TITLE_KINDS) + " end"
 
 
+def _dealt(values: DataFrame) -> DataFrame:
+    """In as many pieces as cores: the adaptive plan would see few bytes, not
+    the work of reading them."""
+    return values.repartition(values.sparkSession.sparkContext.defaultParallelism)
+
+
 @query(f"{_TITLE_WORDS} select src_table, cast({_TITLE_RANKS} as bigint) as title_rank from w")
 def title_match(spark, d):
     t = _statements(spark, d).where("src_table is not null").select("src_table").distinct()
-    return t.select("src_table", titles.title_rank_column(F.col("src_table")).alias("title_rank"))
+    return _dealt(t).select("src_table", titles.title_rank_column(F.col("src_table")).alias("title_rank"))
 
 
 _CENTS = "cast(round(l_extendedprice * 100) as bigint)"
@@ -474,7 +480,7 @@ def period_text_parse(spark, d):
     """Headings as the statements have them; ``period_text_rules`` renders
     the other spellings."""
     heads = _statements(spark, d).where("src_column is not null").select("src_column").distinct()
-    return heads.select("src_column", grammar.period_column(F.col("src_column")).alias("period"))
+    return _dealt(heads).select("src_column", grammar.period_column(F.col("src_column")).alias("period"))
 
 
 def _spelled_by_rule(y: Column, q: Column) -> Column:
@@ -511,7 +517,7 @@ _PLAIN = rf"regexp_replace(lower(regexp_replace(s, {_UNSEEN}, '', 'g')), '[\x{{0
 def header_part_flag(spark, d):
     s = _statements(spark, d)
     cells = s.select(F.explode(F.array_distinct(F.array("src_column", "src_row"))).alias("s")).where("s is not null").distinct()
-    return cells.select("s", grammar.header_part_column(F.col("s")).alias("header"))
+    return _dealt(cells).select("s", grammar.header_part_column(F.col("s")).alias("header"))
 
 
 @query("""select stmt_id, case
